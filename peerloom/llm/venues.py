@@ -122,3 +122,8 @@ def map_candidates(metadata: DataFrame, venues: DataFrame) -> DataFrame:
     rows = metadata.select("provider_record_id", F.posexplode("venue_candidates").alias("cand_pos", "candidate")).where("candidate is not null").distinct()
     matched = match_values(rows.select(F.col("candidate").alias("raw")), venues)
     return rows.join(matched, rows.candidate == matched.raw).select("provider_record_id", "cand_pos", "candidate", "venue_id")
+
+
+def unmatched(metadata: DataFrame, venues: DataFrame) -> DataFrame:
+    """candidate, times: the values that mean no listed venue, each with how often it stands."""
+    return map_candidates(metadata, venues).where("venue_id = 0").groupBy("candidate").agg(F.count("*").alias("times"))
