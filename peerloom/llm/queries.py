@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import residue, skeleton, survivor, venues
+from . import residue, sentences, skeleton, survivor, venues
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,3 +60,13 @@ def p5_found(s: SparkSession, d: str) -> DataFrame:
 @query
 def p5_titles(s: SparkSession, d: str) -> DataFrame:
     return skeleton.titles(table(s, d, "reviews"), table(s, d, "provider_metadata"))
+
+
+@query
+def p9_found(s: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(s, d, "documents")).select("doc_id", "start_char", "end_char")
+
+
+@query
+def p9_sentences(s: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(s, d, "documents"))
