@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import residue, sentences, skeleton, survivor, venues
+from . import near_dup, residue, sentences, skeleton, survivor, venues
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +52,20 @@ def p3_unmatched(s: SparkSession, d: str) -> DataFrame:
     return venues.unmatched(table(s, d, "provider_metadata"), table(s, d, "venues"))
 
 
+def _near(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return near_dup.near_duplicates(near_dup.texts_of(*_texts(s, d)))
+
+
+@query
+def p4_found(s: SparkSession, d: str) -> DataFrame:
+    return near_dup.all_pairs(*_near(s, d))
+
+
+@query
+def p4_classes(s: SparkSession, d: str) -> DataFrame:
+    return near_dup.links_per_record(*_near(s, d))
+
+
 @query
 def p5_found(s: SparkSession, d: str) -> DataFrame:
     return skeleton.titles(table(s, d, "reviews"), table(s, d, "provider_metadata")).where("altered").select("record_kind", "record_key")
