@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import near_dup, residue, sentences, skeleton, survivor, venues
+from . import names, near_dup, residue, sentences, skeleton, survivor, venues
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +76,20 @@ def p5_titles(s: SparkSession, d: str) -> DataFrame:
     return skeleton.titles(table(s, d, "reviews"), table(s, d, "provider_metadata"))
 
 
+def _names(s: SparkSession, d: str) -> DataFrame:
+    return names.link(names.spellings(*[table(s, d, t) for t in ("reviews", "author_responses", "discussion_comments")]))
+
+
+@query
+def p6_found(s: SparkSession, d: str) -> DataFrame:
+    return names.pairs(_names(s, d))
+
+
+@query
+def p6_entities(s: SparkSession, d: str) -> DataFrame:
+    return _names(s, d)
+
+
 @query
 def p9_found(s: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(s, d, "documents")).select("doc_id", "start_char", "end_char")
