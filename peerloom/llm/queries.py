@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import names, near_dup, residue, sentences, skeleton, survivor, venues
+from . import mixture, names, near_dup, packing, residue, sentences, skeleton, survivor, venues
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,6 +90,28 @@ def p6_entities(s: SparkSession, d: str) -> DataFrame:
     return _names(s, d)
 
 
+@query
+def p7_containers(s: SparkSession, d: str) -> DataFrame:
+    return packing.containers(table(s, d, "documents"), table(s, d, "container_sizes"))
+
+
+@query
+def p7_fill(s: SparkSession, d: str) -> DataFrame:
+    sizes = table(s, d, "container_sizes")
+    return packing.fill(packing.containers(table(s, d, "documents"), sizes), sizes)
+
+
+@query
+def p8_selection(s: SparkSession, d: str) -> DataFrame:
+    return mixture.select(table(s, d, "documents"), table(s, d, "mixture_targets"))
+
+
+@query
+def p8_shares(s: SparkSession, d: str) -> DataFrame:
+    targets = table(s, d, "mixture_targets")
+    return mixture.shares(mixture.select(table(s, d, "documents"), targets), targets)
+
+
 @query
 def p9_found(s: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(s, d, "documents")).select("doc_id", "start_char", "end_char")

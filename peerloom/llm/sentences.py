@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -93,9 +92,10 @@ _LINE = re.compile(r"[^\n]+")
 HEADING_CHARS, HEADING_WORDS = 60, 7
 
 
-@lru_cache
-def _rules(language: str) -> list[tuple[bool, re.Pattern, re.Pattern]]:
-    return [(b, re.compile(rf"(?:{before})\Z"), re.compile(after)) for b, before, after in BY_LANGUAGE.get(language, []) + COMMON]
+_RULES = {
+    language: [(b, re.compile(rf"(?:{before})\Z"), re.compile(after)) for b, before, after in BY_LANGUAGE.get(language, []) + COMMON]
+    for language in [*BY_LANGUAGE, ""]
+}
 
 
 def language_of(text: str, tag: str | None) -> str:
@@ -130,7 +130,7 @@ def _headings(text: str, start: int, end: int) -> list[tuple[int, int]]:
 def boundaries(text: str, tag: str | None = None) -> list[tuple[int, int]]:
     """(start, end) of every sentence of text, as code-point offsets without surrounding white space."""
     language = language_of(text, tag)
-    rules, place = _rules(language), PLACES.get(language, _PLACE)
+    rules, place = _RULES.get(language, _RULES[""]), PLACES.get(language, _PLACE)
     spans, at = [], 0
     for gap in [*_BLANK_LINE.finditer(text), None]:
         spans.append((at, gap.start() if gap else len(text)))
