@@ -2,7 +2,7 @@
 
 Method: Sainte-Laguë apportionment. The mixture is cut into blocks of equal tokens; the blocks go to the sources by
 highest quotients of their target shares, and each source's blocks to its shards by highest quotients of their tokens.
-In a shard the documents stand in a seeded order, as often in a row as they may be used, and those that begin within
+In a shard the documents stand in a seeded order, as often in a row as they may be used, and those that end within
 the shard's quota of blocks are taken.
 """
 
@@ -85,10 +85,16 @@ def select(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULAR
     quota = F.broadcast(spark.createDataFrame(quotas, "source string, shard int, quota double, max_repeats int"))
     order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(SEED + 1), "doc_id"), "doc_id")
     within = sharded.join(quota, ["source", "shard"]).withColumn("end", F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    within = within.withColumn("all", F.sum("n_tokens").over(Window.partitionBy("source", "shard")))
-    # The k-th copy begins k x all + end - n_tokens tokens on; it is taken if its middle lies within the quota.
-    copies = F.ceil((F.col("quota") - F.col("end") + F.col("n_tokens") / 2) / F.col("all"))
+    every = Window.partitionBy("source", "shard")
+    within = within.withColumn("all", F.sum("n_tokens").over(every))
+    # The k-th copy ends k x all + end tokens on; it is taken if that lies within the quota.
+    copies = F.floor((F.col("quota") - F.col("end")) / F.col("all")) + 1
     within = within.withColumn("copies", F.least("max_repeats", F.greatest(F.lit(0), copies)).cast("int"))
+    # What a long document at the end leaves free goes, in the same order, to the next ones that fit.
+    within = within.withColumn("open", F.col("quota") - F.sum(F.col("copies") * F.col("n_tokens")).over(every)).withColumn("least", F.min("copies").over(every))
+    fits = (F.col("copies") == F.col("least")) & (F.col("copies") < F.col("max_repeats")) & (F.col("n_tokens") <= F.col("open"))
+    more = fits & (F.sum(F.when(fits, F.col("n_tokens")).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, 0)) <= F.col("open"))
+    within = within.withColumn("copies", F.col("copies") + more.cast("int"))
     return within.where("copies > 0").select("source", "doc_id", "n_tokens", "copies")
 
 
