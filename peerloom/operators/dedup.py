@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,19 +21,17 @@ def repeated_records(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.sum("n").alias("records"), F.count("*").alias("unique_records"), F.sum(F.col("n") - 1).alias("repeated_records"))
 
 
-def mark_duplicates(rows: DataFrame, scope: list[str | Column], key: str, order: list[str], text: str) -> DataFrame:
-    """scope columns, body_hash, key, kept: for every row the survivor of its exact duplicates in the scope.
+def mark_duplicates(rows: DataFrame, scope: list[str | Column], key: str, order: list[str], text: str, survivor: str = "kept") -> DataFrame:
+    """scope columns, body_hash, key, survivor, copies: for every row the survivor of its exact duplicates in the scope.
 
     The survivor is the first in order, ties going to the lower key. It is found by an aggregate with partial results
     and joined back on the duplicates' hash, so that no window has to hold a hot scope."""
     hashed = rows.select(*scope, key, *order, body_hash(F.col(text)).alias("body_hash"))
     names = [c if isinstance(c, str) else hashed.columns[i] for i, c in enumerate(scope)]
-    best = hashed.groupBy(*names, "body_hash").agg(F.min_by(key, F.struct(*order, key)).alias("kept"), F.count("*").alias("copies"))
-    keys = [hashed[n].eqNullSafe(best[n]) for n in [*names, "body_hash"]]
-    on = keys[0]
-    for k in keys[1:]:
-        on = on & k
-    return hashed.join(best, on).select(*[hashed[n] for n in [*names, "body_hash", key]], "kept", "copies")
+    best = hashed.groupBy(*names, "body_hash").agg(F.min_by(key, F.struct(*order, key)).alias(survivor), F.count("*").alias("copies"))
+    best = best.select(*[F.col(n).alias(f"__{n}") for n in [*names, "body_hash"]], survivor, "copies")
+    on = reduce(and_, [F.col(n).eqNullSafe(F.col(f"__{n}")) for n in [*names, "body_hash"]])
+    return hashed.join(best, on).select(*names, "body_hash", key, survivor, "copies")
 
 
 def participants(creators: str | Column) -> Column:

@@ -24,8 +24,9 @@ def unique_within(stream: DataFrame, key: str, time: str, delay: str) -> DataFra
 
 
 def counts_by_window(stream: DataFrame, time: str, kind: str, width: str, delay: str) -> DataFrame:
+    stream = stream.withColumn(time, F.col(time).cast("timestamp"))
     windowed = stream.withWatermark(time, delay).groupBy(F.window(time, width).alias("w"), kind).agg(F.count("*").alias("n"))
-    return windowed.select(F.col("w.start").alias("window_start"), kind, "n")
+    return windowed.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), kind, "n")
 
 
 def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
