@@ -25,7 +25,7 @@ K1, B = 1.2, 0.75
 #: Of the capacity, what the last text of a container may leave free so that nearness decides.
 SLACK = 0.01
 
-_TERM = re.compile(r"[^\W\d_㐀-鿿぀-ヿ฀-๿가-힯]{2,}|\d+|[㐀-鿿぀-ヿ฀-๿가-힯]+")
+_TERM = re.compile(r"[^\W_㐀-鿿぀-ヿ฀-๿가-힯]{2,}|[㐀-鿿぀-ヿ฀-๿가-힯]+")
 
 
 def terms(text: str) -> list[str]:

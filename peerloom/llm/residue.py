@@ -192,4 +192,4 @@ def found(reviews: DataFrame, comments: DataFrame) -> DataFrame:
 def kept_out(reviews: DataFrame, comments: DataFrame) -> DataFrame:
     """How many records each kind of residue keeps out, and in how many of them nothing else is left."""
     held = residue(records(reviews, comments)).withColumn("kinds", F.array_join("kinds", "+"))
-    return held.groupBy("record_kind", "kinds").agg(F.count("*").alias("records"), F.count_if("left_lines = 0").alias("nothing_left"))
+    return held.groupBy("record_kind", "kinds").agg(F.count("*").alias("records"), F.count_if(F.col("left_lines") == 0).alias("nothing_left"))
