@@ -44,6 +44,8 @@ SCRIPTS = [
     r"(?:enable|activate|allow|turn(?:ed)? on|switch(?:ed)? on|activer|activar|ative|activez|active|habilit\w+|requires?|need)\b.{0,40}\b(?:java ?scripts?|(?:client-side )?script(?:s|ing)|cookies)\b",
     r"\b(?:java ?script|scripts?|scripting)\b.{0,30}\b(?:disabled|blocked|off|required|désactivé\w*|desactivad\w+|desativad\w+)\b",
 ]
+# A part of every pattern of the last one.
+DEMAND_WORDS = ["nable", "activ", "ativ", "allow", "turn", "switch", "habilit", "requir", "need", "blocked", "disabled", " off"]
 # Sentences of failed pages, wherever they stand.
 FAILURES = [
     r"page (?:you are looking for|you requested) does not exist",
@@ -105,6 +107,11 @@ def normal_line(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(F.lower(c), "\u00a0\u2009\u202f\u3000", "    "), r"\s+", " "))
 
 
+def line_hash(low: Column) -> Column:
+    """Equal for lines in lower case that differ in blanks only."""
+    return F.xxhash64(F.translate(low, " \t\u00a0\u2009\u202f\u3000", ""))
+
+
 def _unquoted(c: Column) -> Column:
     return F.regexp_replace(c, "\"[^\"\n]{1,200}\"|“[^”\n]{1,200}”|«[^»\n]{1,200}»|„[^“\n]{1,200}“|‘[^’\n]{1,200}’", " ")
 
@@ -114,7 +121,7 @@ def _any(patterns: list[str]) -> str:
 
 
 def evidence(line: Column, low: Column) -> Column:
-    """slot, filler, failure or script for a line of as_text (low: its normal_line) that holds such residue, else null.
+    """slot, filler, failure or script for a line of as_text (low: it in lower case) that holds such residue, else null.
 
     Each group of patterns is behind a plain search for what all of them need.
     """
@@ -123,14 +130,14 @@ def evidence(line: Column, low: Column) -> Column:
     named = rf"(?i:\b{MENTION}\b)(?:\s+\p{{L}}+){{0,2}}?\s+[\"“«'‘]?{slots}|{slots}(?:\s+\p{{L}}+){{0,2}}?\s+(?i:{MENTION})\b|[\"“«‘']{slots}[\"”»’']"
     plain = F.regexp_replace(line, named, " ")
     spoken = normal_line(_unquoted(line))
-    bare = F.regexp_replace(low, r"^[\s\"'*_>#-]+|[\s\"'*_.!…;:-]+$", "")
-    latin = rf"(?:\b{_trie(LATIN)}\b[ ,.;:!?]*){{{LATIN_RUN}}}"
+    bare = F.regexp_replace(normal_line(line), r"^[\s\"'*_>#-]+|[\s\"'*_.!…;:-]+$", "")
+    latin = rf"(?:\b{_trie(LATIN)}\b[\s,.;:!?]*){{{LATIN_RUN}}}"
     return (
         F.when(has(line, "{", "<", "%", "__", "@@", "#", "[", "XXXX", "TBD") & line.rlike(slots) & plain.rlike(slots), "slot")
         .when((F.length(line) < 120) & bare.rlike("^" + _any(FILLER_LINES) + "$") | low.rlike(latin), "filler")
         .when((F.length(line) < 120) & bare.rlike("^" + _any(FAILED_LINES) + "$"), "failure")
-        .when(has(low, *FAILURE_WORDS) & (spoken.rlike(_any(FAILURES)) | low.rlike(_any(FAILED_DATA))), "failure")
-        .when(has(low, "script", "cookie") & spoken.rlike(_any(SCRIPTS)), "script")
+        .when(has(low, *FAILURE_WORDS) & (spoken.rlike(_any(FAILURES)) | normal_line(line).rlike(_any(FAILED_DATA))), "failure")
+        .when(has(low, "script", "cookie") & has(low, *DEMAND_WORDS) & spoken.rlike(_any(SCRIPTS)), "script")
     )
 
 
@@ -160,7 +167,7 @@ def residue(rows: DataFrame) -> DataFrame:
     given several times counts once (its lines once for each time), and an empty table gives an empty result.
     """
     lines = rows.select("record_kind", "record_key", "host", F.explode(F.split(as_text(F.col("text")), r"[\n\r]+")).alias("line")).where(r"line rlike '\\S'")
-    lines = lines.withColumn("low", normal_line(F.col("line"))).withColumn("hash", F.xxhash64("low"))
+    lines = lines.withColumn("low", F.lower("line")).withColumn("hash", line_hash(F.col("low")))
     recurrent, small = recurrent_lines(lines, rows)
     recurrent = recurrent.withColumn("recurs", F.lit(True))
     lines = lines.join(F.broadcast(recurrent) if small else recurrent, ["host", "hash"], "left")
