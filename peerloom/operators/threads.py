@@ -13,7 +13,7 @@ from .rounds import number_rounds, target_versions
 def review_rows(reviews: DataFrame) -> DataFrame:
     """Distinct reviews with flat target columns: of an id given several times the one harvested last."""
     flat = reviews.select("review_id", F.col("target.family_key").alias("family_key"), F.col("target.value").alias("value"), F.col("target.version").alias("version"), "comment", F.coalesce("review_date", F.lit("")).alias("review_date"), "creators", "creator_orcids", "harvested_at")
-    return flat.where("review_id is not null").groupBy("review_id").agg(F.max_by(F.struct("family_key", "value", "version", "comment", "review_date", "creators", "creator_orcids"), "harvested_at").alias("r")).select("review_id", "r.*")
+    return flat.where("review_id is not null").groupBy("review_id").agg(F.max_by(F.struct("family_key", "value", "version", "comment", "review_date", "creators", "creator_orcids"), F.coalesce("harvested_at", F.timestamp_micros(F.lit(0)))).alias("r")).select("review_id", "r.*")
 
 
 def interaction_rows(responses: DataFrame, comments: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def interaction_rows(responses: DataFrame, comments: DataFrame) -> DataFrame:
         return df.select(F.lit(kind).alias("kind"), F.col(key).alias("event_id"), "target_review_id", "family_key", "content", F.coalesce(date, F.lit("")).alias("event_date"), "creators", "creator_orcids", "harvested_at")
 
     both = shape(responses, "response", "response_id", "response_date").unionByName(shape(comments, "discussion", "comment_id", "comment_date"))
-    last = F.max_by(F.struct("target_review_id", "family_key", "content", "event_date", "creators", "creator_orcids"), "harvested_at")
+    last = F.max_by(F.struct("target_review_id", "family_key", "content", "event_date", "creators", "creator_orcids"), F.coalesce("harvested_at", F.timestamp_micros(F.lit(0))))
     return both.where("event_id is not null").groupBy("kind", "event_id").agg(last.alias("r")).select("kind", "event_id", "r.*")
 
 
