@@ -187,7 +187,7 @@ def recurrent_lines(lines: DataFrame, rows: DataFrame) -> tuple[DataFrame, bool]
     """
     counts = lines.groupBy("host", "hash").agg(F.count("*").alias("n"))
     totals = rows.groupBy("host").agg(F.count("*").alias("records"))
-    often = counts.where(F.col("n") >= BOILERPLATE_LEAST).join(F.broadcast(totals), "host").where(F.col("n") >= BOILERPLATE_SHARE * F.col("records"))
+    often = counts.where(F.col("n") >= BOILERPLATE_LEAST).join(totals, "host").where(F.col("n") >= BOILERPLATE_SHARE * F.col("records"))
     often = materialise(often.select("host", "hash"), "recurrent")
     return often, often.count() <= BROADCAST_ROWS
 
