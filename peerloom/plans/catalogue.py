@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import texts as X
-from ..operators import dedup, links, merge, rounds, sampling, threads, validate
+from ..operators import dedup, ingest, links, merge, rounds, sampling, threads, validate
 from ..sources import files
 from ..sources.tables import table
 from ..storage import scratch_dir
@@ -181,6 +181,26 @@ def prefix_match(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "targets").select("target_value", C.first_match(F.coalesce("doi", F.lit("")), PREFIXES, "startswith").alias("venue"))
 
 
+# Records as JSON: made of the tables, parsed and read again
+
+
+def _records(s: SparkSession, d: str) -> DataFrame:
+    rows = table(s, d, "reviews").where("review_id is not null").groupBy("review_id").agg(F.max_by(F.struct("target.source_identifier", "creators", "creator_orcids", "subjects", "review_date"), "harvested_at").alias("r"))
+    related = F.array(F.struct(F.lit("reviews").alias("relation"), F.col("r.source_identifier").alias("identifier")), F.struct(F.lit("cites").alias("relation"), F.col("review_id").alias("identifier")))
+    metadata = F.struct(related.alias("related_identifiers"), F.col("r.creators").alias("creators"), F.col("r.subjects").alias("subjects"), F.col("r.review_date").alias("publication_date"))
+    return ingest.parsed(rows.select(F.col("review_id").alias("record_id"), F.to_json(F.struct(metadata.alias("metadata"))).alias("record")))
+
+
+@query("select distinct review_id record_id, target.value \"value\", target.family_key family_key, target.version \"version\" from reviews where review_id is not null")
+def record_targets(s: SparkSession, d: str) -> DataFrame:
+    return ingest.targets(_records(s, d)).select("record_id", "target.value", "target.family_key", "target.version")
+
+
+@query("with r as (select review_id, arg_max(struct_pack(c := creators, s := subjects, d := review_date), harvested_at) r from reviews where review_id is not null group by 1) select review_id record_id, len(list_distinct(list_filter(coalesce(r.c, []), lambda x: trim(coalesce(x, ''), ' ') <> ''))) creators, len(list_distinct(list_filter(coalesce(r.s, []), lambda x: trim(coalesce(x, ''), ' ') <> ''))) subjects, left(coalesce(r.d, ''), 10) record_date from r")
+def record_people(s: SparkSession, d: str) -> DataFrame:
+    return ingest.people(_records(s, d)).select("record_id", F.size("creators").alias("creators"), F.size("subjects").alias("subjects"), "record_date")
+
+
 # Links
 
 
