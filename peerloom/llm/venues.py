@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..storage import materialise
+
 # Accented letters and their plain ones, for the SQL translate function.
 ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿøł"
 PLAIN = "aaaaaaceeeeiiiinooooouuuuyyol"
@@ -79,6 +81,7 @@ def match_values(values: DataFrame, venues: DataFrame) -> DataFrame:
     values = values.select("raw").where("raw is not null").distinct().withColumn("p", plain(F.col("raw"))).where("p != ''")
     inner = F.regexp_extract("p", "\\((?:now |formerly |ex )?([^()]+)\\)\\s*$", 1)
     keyed = values.select("raw", "p", host(F.col("p")).alias("h"), F.array_distinct(F.array("p", unwrapped(F.col("p")), unwrapped(F.regexp_replace("p", "[.;,: -]+$", "")), inner)).alias("forms"))
+    keyed = materialise(keyed, "values")  # a row for each distinct value: read by every step below
 
     by_host = keyed.where("h != ''").join(F.broadcast(refs.where("kind = 'host'").select("key", "venue_id")), F.col("h") == F.col("key")).select("raw", "venue_id", F.lit(0).alias("cost"))
     texts = keyed.where("h = '' or not p like 'http%'").select("raw", F.explode("forms").alias("form")).where("form != ''")
@@ -87,7 +90,7 @@ def match_values(values: DataFrame, venues: DataFrame) -> DataFrame:
     equal = texts.join(names.select("key", "venue_id"), "key").select("raw", "venue_id", F.lit(0).alias("cost"))
     sure = by_host.unionByName(equal)
 
-    open_texts = texts.join(sure.select("raw").distinct(), "raw", "left_anti")
+    open_texts = materialise(texts.join(sure.select("raw").distinct(), "raw", "left_anti"), "open")
     initials = lambda ws: F.array_join(F.transform(ws, lambda w: F.substring(w, 1, 1)), "")
     full = names.select("venue_id", words(F.col("name")).alias("full")).where("size(full) > 1").withColumn("initials", initials(F.col("full")))
     short = open_texts.select("raw", words(F.col("form")).alias("short")).where("size(short) > 1").withColumn("initials", initials(F.col("short"))).distinct()
@@ -98,7 +101,7 @@ def match_values(values: DataFrame, venues: DataFrame) -> DataFrame:
     found = sure.select("raw", "venue_id", F.col("cost").cast("double").alias("cost")).unionByName(abbreviated.select("raw", "venue_id", F.col("cost").cast("double").alias("cost")))
     found = found.unionByName(near.select("raw", "venue_id", F.col("distance").cast("double").alias("cost")))
     best = found.groupBy("raw").agg(F.min_by("venue_id", F.struct("cost", "venue_id")).alias("venue_id"))
-    none = values.join(best.select("raw"), "raw", "left_anti").select("raw", F.lit(0).alias("venue_id"))
+    none = keyed.select("raw").join(best.select("raw"), "raw", "left_anti").select("raw", F.lit(0).alias("venue_id"))
     return best.unionByName(none)
 
 
