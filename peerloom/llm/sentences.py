@@ -114,7 +114,8 @@ def _headings(text: str, start: int, end: int) -> list[tuple[int, int]]:
     for k, (at, line) in enumerate(lines):
         bare = line.strip()
         marked = bool(re.search(rf"{END}{CLOSERS}*$|[,;:，；：、،]$", bare))
-        if fresh and not marked and k + 1 < len(lines) and bare and len(bare) <= HEADING_CHARS and len(bare.split()) <= HEADING_WORDS:
+        prose = re.search(r"://|[,;，；、،]|[.!?]\s", re.sub(r"^(?:\d+\.)+\s*", "", bare))
+        if fresh and not marked and not prose and k + 1 < len(lines) and bare and len(bare) <= HEADING_CHARS and len(bare.split()) <= HEADING_WORDS:
             nxt = lines[k + 1][1].strip()
             wide = max(len(x) for _, x in lines)
             # A wrapped line is filled until the next word does not fit; a heading leaves room for it.
