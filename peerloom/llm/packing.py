@@ -22,6 +22,8 @@ from .tokens import VOCABULARY, encoder
 SHARD_TEXTS, SHARDS_TOGETHER, FULL = 4000, 40, 0.97
 #: BM25's saturation and length parameters.
 K1, B = 1.2, 0.75
+#: Terms in more than one of so many texts of a shard have a row of their own.
+DENSE = 10
 #: Of the capacity, what the last text of a container may leave free so that nearness decides.
 SLACK = 0.01
 
@@ -59,15 +61,25 @@ class Index:
         idf = np.log1p((n - df + 0.5) / (df + 0.5))
         norm = K1 * (1 - B + B * length[self.doc] / max(length.mean(), 1.0)) if n else 0.0
         self.weight = idf[t] * tf * (K1 + 1) / (tf + norm) if n else np.zeros(0)
-        order = np.lexsort((t, self.doc))
+        order = np.argsort(self.doc, kind="stable")
         self.terms_of = np.split(t[order], np.cumsum(np.bincount(self.doc, minlength=n))[:-1]) if n else []
+        # The lists of frequent terms are kept as rows over all texts: adding rows is cheaper than adding up postings.
+        frequent = np.flatnonzero(df * DENSE > n)
+        self.row = np.full(len(vocabulary), -1, dtype=np.int64)
+        self.row[frequent] = np.arange(len(frequent))
+        self.rows = np.zeros((len(frequent), n), dtype=np.float32)
+        inside = self.row[t] >= 0
+        self.rows[self.row[t[inside]], self.doc[inside]] = self.weight[inside]
 
     def scores(self, d: int) -> np.ndarray:
         """How near each text of the shard is to text d."""
-        lists = [slice(self.start[t], self.start[t + 1]) for t in self.terms_of[d]]
-        if not lists:
-            return np.zeros(self.size)
-        return np.bincount(np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists]), self.size)
+        ts = self.terms_of[d]
+        rows = self.row[ts]
+        out = self.rows[rows[rows >= 0]].sum(axis=0)
+        lists = [slice(self.start[t], self.start[t + 1]) for t in ts[rows < 0]]
+        if lists:
+            out = out + np.bincount(np.concatenate([self.doc[x] for x in lists]), np.concatenate([self.weight[x] for x in lists]), self.size)
+        return out
 
 
 def pack(sizes: np.ndarray, owner: np.ndarray, capacity: int, index: Index) -> list[list[int]]:
