@@ -69,7 +69,7 @@ _CUT = "\\s*(?:\\.{2,}|…|[\\[(](?:\\.{2,}|…)[\\])])\\s*$"
 _SURVIVORS = f"""
 raw as (select distinct {_put(_TARGET, 'target_value')} t, provider_record_id id, provider, title, authors, "year", fields, retrieved_at from provider_metadata),
 a as (select t, id, raw.provider, coalesce(trust_rank, 2147483647) trust, retrieved_at, title, {_put(_SKELETON, 'title')} sk, {_put(_REAL, 'authors', _text(survivor.NO_PERSON))} people, {_put(_REAL, 'fields', _text(survivor.NO_FIELD))} topics, trim("year", ' ') y from raw left join providers p on raw.provider = p.provider),
-b as (select *, sk is not null and sk not in {_text(survivor.NO_TITLE)} and not regexp_matches(sk, '{_CUT}') "real", regexp_replace(regexp_replace(sk, '{_CUT}', ''), '^(?:\\p{{L}}+ ){{0,2}}\\p{{L}}+(?:: | - )', '') bare from a),
+b as (select *, sk is not null and sk not in {_text(survivor.NO_TITLE)} and not regexp_matches(sk, '{_CUT}') "real", regexp_replace(regexp_replace(regexp_replace(sk, '{_CUT}', ''), '^(?:\\p{{L}}+ ){{0,2}}\\p{{L}}+(?:: | - )', ''), '[ .,;:-]+$', '') bare from a),
 g as (select t, max(len(people)) mp, max(len(topics)) mt, count(distinct id) n from b group by t),
 w as (select b.*, b."real" and not exists (select 1 from b o where o.t = b.t and o.bare <> b.bare and starts_with(o.bare, b.bare) and o.sk not in {_text(survivor.NO_TITLE)}) wt,
  len(people) > 0 and len(people) = mp and len(list_filter(people, lambda p: not regexp_matches(p, '{survivor.INITIALS_ONLY.replace("'", "''")}'))) > 0 wa,

@@ -71,6 +71,7 @@ def answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     marked = rows.select("target_value", "title").where("title is not null").distinct()
     marked = marked.mapInPandas(_folded, "target_value string, title string, ordinary string")
     bare = F.lower(F.regexp_replace(F.regexp_replace("ordinary", CUT_MARK, ""), "^(?:\\p{L}+ ){0,2}\\p{L}+(?:: | - )", ""))
+    bare = F.regexp_replace(bare, "[ .,;:-]+$", "")  # a final dot more or less is no cut
     marked = marked.withColumn("bare", bare).withColumn("real", ~F.lower(F.trim("ordinary")).isin(NO_TITLE) & ~F.col("ordinary").rlike(CUT_MARK))
     # In sorted order a proper beginning stands right before a text that continues it.
     stems = marked.where("bare != '' and not lower(trim(ordinary)) in (" + ", ".join(f"'{t}'" for t in NO_TITLE) + ")").select("target_value", "bare").distinct()

@@ -46,6 +46,11 @@ def test_marks_prefixes_and_lookalikes(spark):
     assert picked(run(spark, rows)) == {("10.1/x", "title"): 2}
 
 
+def test_a_final_dot_is_no_cut(spark):
+    rows = [row(1, "A", FULL, None, None, None, 5), row(2, "A", FULL + ".", None, None, None, 4)]
+    assert picked(run(spark, rows)) == {("10.1/x", "title"): 1}
+
+
 def test_single_answers_nulls_and_empty_tables(spark):
     assert picked(run(spark, ROWS[:1])) == {}
     odd = [row(1, None, None, None, None, None, None), row(2, "Z", "", [None], "", [""], None), (None, "10.1/x", "A", FULL, [], "2020", None, [], day(1)), (9, None, "A", FULL, [], "2020", None, [], day(1))]
