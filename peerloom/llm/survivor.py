@@ -65,7 +65,9 @@ def answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     )
     rows = rows.select("target_value", "provider_record_id", "r.*").join(F.broadcast(trust), "provider", "left")
     rows = rows.withColumn("trust", F.coalesce("trust", F.lit(2**31 - 1)))
-    rows = rows.withColumn("people", _real(F.col("authors"), NO_PERSON)).withColumn("topics", _real(F.col("fields"), NO_FIELD))
+    rows = rows.withColumn("people", _real(F.col("authors"), NO_PERSON)).withColumn("topics", F.size(_real(F.col("fields"), NO_FIELD)))
+    # Numbers, not lists, go through the joins below.
+    rows = rows.withColumn("named", F.exists("people", lambda p: ~p.rlike(INITIALS_ONLY))).withColumn("people", F.size("people"))
 
     # Titles: the ordinary form without a leading label; one that begins another title of its target is cut short.
     marked = rows.select("target_value", "title").where("title is not null").distinct()
@@ -80,16 +82,15 @@ def answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     whole = marked.join(cut, ["target_value", "bare"], "left").select("target_value", "title", (F.col("real") & F.col("cut").isNull()).alias("whole_title"))
     rows = rows.join(whole, ["target_value", "title"], "left")
 
-    most = rows.groupBy("target_value").agg(F.max(F.size("people")).alias("most_people"), F.max(F.size("topics")).alias("most_topics"), F.count("*").alias("answers"))
+    most = rows.groupBy("target_value").agg(F.max("people").alias("most_people"), F.max("topics").alias("most_topics"), F.count("*").alias("answers"))
     rows = rows.join(most, "target_value")
-    named = F.exists("people", lambda p: ~p.rlike(INITIALS_ONLY))
     year = F.trim("year")
     return rows.select(
         "target_value", "provider_record_id", "provider", "trust", "retrieved_at", "title", "authors", "year", "fields", "answers",
         F.coalesce("whole_title", F.lit(False)).alias("whole_title"),
-        ((F.size("people") > 0) & (F.size("people") == F.col("most_people")) & named).alias("whole_authors"),
+        ((F.col("people") > 0) & (F.col("people") == F.col("most_people")) & F.col("named")).alias("whole_authors"),
         F.coalesce(year.rlike("^[0-9]{4}$") & F.expr(f"try_cast(trim(year) as int) between {FIRST_YEAR} and {LAST_YEAR}"), F.lit(False)).alias("whole_year"),
-        ((F.size("topics") > 0) & (F.size("topics") == F.col("most_topics"))).alias("whole_fields"),
+        ((F.col("topics") > 0) & (F.col("topics") == F.col("most_topics"))).alias("whole_fields"),
     )
 
 
