@@ -1,8 +1,10 @@
 """Problem 7: filling fixed-capacity containers with items.
 
 Method: lexical retrieval packing. Texts are spread over shards; in each, a BM25 inverted index returns for a seed
-text the unused texts nearest to it, which fill the seed's container in that order. The last places go, among the
-texts that leave next to nothing free, to the nearest one. Only a text that alone exceeds the capacity is split.
+text the unused texts nearest to it, which fill the seed's container in that order. While more is free than a usual
+text takes (the 0.9 quantile of the sizes), the nearest that fits is taken; from then on the nearest after which the
+container can still be filled, because it leaves next to nothing free or some other text would. Only where there is no
+such neighbour the largest text that fits is taken. Only a text that alone exceeds the capacity is split.
 Containers that stay too empty are dissolved and their pieces packed again, many shards together.
 """
 
@@ -24,7 +26,7 @@ SHARD_TEXTS, SHARDS_TOGETHER, FULL = 4000, 40, 0.97
 K1, B = 1.2, 0.75
 #: Terms in more than one of so many texts of a shard have a row of their own.
 DENSE = 10
-#: Of the capacity, what the last text of a container may leave free so that nearness decides.
+#: Of the capacity, what may stay free in a container that counts as filled.
 SLACK = 0.01
 
 _TERM = re.compile(r"[^\W_㐀-鿿぀-ヿ฀-๿가-힯]{2,}|[㐀-鿿぀-ヿ฀-๿가-힯]+")
@@ -101,6 +103,8 @@ def pack(sizes: np.ndarray, owner: np.ndarray, capacity: int, index: Index) -> l
     for i, o in enumerate(owner):
         by_owner.setdefault(int(o), []).append(i)
     usual = float(np.quantile(sizes, 0.9)) if len(sizes) else 0.0
+    slack = int(SLACK * capacity)
+    left = np.bincount(sizes, minlength=capacity + 1)  # unused items of each size
     out = []
     while (seed := unused(0)) < len(order):
         bin_, gap, scores, near = [], capacity, None, None
@@ -109,6 +113,7 @@ def pack(sizes: np.ndarray, owner: np.ndarray, capacity: int, index: Index) -> l
             bin_.append(int(order[i]))
             after[i] = i + 1
             free[i] = False
+            left[sizes[order[i]]] -= 1
 
         take(seed)
         gap -= int(sizes[order[seed]])
@@ -126,9 +131,9 @@ def pack(sizes: np.ndarray, owner: np.ndarray, capacity: int, index: Index) -> l
                     take(i)
                     gap -= int(sizes[j])
                     continue
-            # The texts that would leave next to nothing free: of these the nearest, else the largest that fits.
-            end = int(np.searchsorted(ranked, -(gap - SLACK * capacity), side="right"))
-            fits = np.arange(i, end)[free[i:end]]
+            # The nearest neighbour after which the container can be filled, else the largest that fits.
+            fits = i + np.flatnonzero(free[i:])
+            fits = fits[_fillable(left, gap, slack)[sizes[order[fits]]]]
             if len(fits):
                 i = int(fits[np.argmax(scores[owner[order[fits]]])])
             take(i)
@@ -137,6 +142,15 @@ def pack(sizes: np.ndarray, owner: np.ndarray, capacity: int, index: Index) -> l
     return out
 
 
+def _fillable(left: np.ndarray, gap: int, slack: int) -> np.ndarray:
+    """For each size up to gap: whether after an item of it at most slack is free, or would be after one other unused item."""
+    size = np.arange(gap + 1)
+    rest = gap - size
+    upto = np.r_[0, np.cumsum(left[: gap + 1])]
+    others = upto[rest + 1] - upto[np.maximum(rest - slack, 0)] - ((size <= rest) & (size >= rest - slack))
+    return (rest <= slack) | (others > 0)
+
+
 class _Near:
     """Items by falling nearness of their texts."""
 

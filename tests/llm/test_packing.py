@@ -51,6 +51,21 @@ def test_neighbours_share_a_container():
     assert scores[6] > scores[1] == 0
 
 
+def test_neighbours_come_first_where_the_seed_leaves_less_than_a_usual_text():
+    """Seeds of 60 of 100, two neighbours of 20 for each, and texts of 40 on another subject that would fit at once."""
+    rng = random.Random(2)
+    topics = [[f"{t}{i}" for i in range(30)] for t in "abcdefz"]
+    about = [k % 6 for k in range(60)] + [k % 6 for k in range(120)] + [6] * 60
+    sizes = np.array([60] * 60 + [20] * 120 + [40] * 60)
+    index = packing.Index([" ".join(rng.choice(topics[t]) for _ in range(20)) for t in about])
+    bins = packing.pack(sizes, np.arange(240), 100, index)
+    assert sorted(i for b in bins for i in b) == list(range(240))
+    same = sum(about[i] == about[b[0]] for b in bins if b[0] < 60 for i in b[1:])
+    assert same > 100 and len(bins) <= 90
+    # With fillers of one exact size only, that size is found.
+    assert packing._fillable(np.bincount([30, 10], minlength=101), 40, 1).nonzero()[0].tolist() == [9, 10, 29, 30, 39, 40]
+
+
 def test_terms_and_empty_tables(spark):
     assert packing.terms("A Study of 这个结果 42") == ["study", "of", "这个", "个结", "结果", "42"]
     empty = packing.containers(documents(spark, []), spark.createDataFrame([(1, 10)], SIZES))
