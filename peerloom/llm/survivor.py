@@ -1,8 +1,9 @@
 """Problem 2: best representative of each duplicate group.
 
-Method: skyline selection. The answers of a target are compared on completeness, recency and trust; the layers of
-answers that no other dominates are peeled off, a lexicographic policy (completeness, recency, trust) orders each
-layer, and each field is filled from the first answer in that order that has it whole.
+Method: skyline selection. The answers of a target are compared on completeness, recency and trust; those that another
+with the same whole fields and trust dominates are dropped, and the rest get as layer the number of answers that
+dominate them. Each field is filled from the latest answer that has it whole, ties going to trust. The required result
+fixes that order, so the layer is a third tie-break only, between answers equal in recency and trust.
 """
 
 from __future__ import annotations
