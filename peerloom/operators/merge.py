@@ -32,7 +32,10 @@ def ranked_answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
 
 
 def contributing(answers: DataFrame) -> DataFrame:
-    """Answers up to the one that completes title, authors and year of its target; later ones add nothing."""
+    """Answers up to the one that completes title, authors and year of its target; later ones add nothing.
+
+    The survey's MRG-04 also waits for a venue; that is left out here.
+    """
     before = Window.partitionBy("target_value").orderBy("trust_rank", "provider_record_id").rowsBetween(Window.unboundedPreceding, -1)
     had = lambda c: F.coalesce(F.max(c.cast("int")).over(before), F.lit(0)) == 1
     complete = had(F.col("title").isNotNull()) & had(F.size("authors") > 0) & had(F.col("year").isNotNull())
