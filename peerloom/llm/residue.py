@@ -45,7 +45,7 @@ SCRIPTS = [
     r"\b(?:java ?script|scripts?|scripting)\b.{0,30}\b(?:disabled|blocked|off|required|désactivé\w*|desactivad\w+|desativad\w+)\b",
 ]
 # A part of every pattern of the last one.
-DEMAND_WORDS = ["nable", "activ", "ativ", "allow", "turn", "switch", "habilit", "requir", "need", "blocked", "disabled", " off"]
+DEMAND_WORDS = ["nable", "activ", "ativ", "allow", "turn", "switch", "habilit", "requir", "need", "blocked", "disabled", "off"]
 # Sentences of failed pages, wherever they stand.
 FAILURES = [
     r"page (?:you are looking for|you requested) does not exist",
@@ -65,7 +65,7 @@ FAILURES = [
 # What failed calls leave, also in quotes.
 FAILED_DATA = [r"""\{ ?"(?:status|error|code|message)" ?:""", r"\[object object\]", r"upstream request failed"]
 # A part of every pattern of the last two.
-FAILURE_WORDS = ["page ", "checking", "maintenance", "permission", "error", "erro ", "erreur", "session", "introuvable", "traceback", "exception", "cannot read", '"', "object", "upstream"]
+FAILURE_WORDS = ["page", "checking", "maintenance", "permission", "erro", "erreur", "session", "introuvable", "traceback", "exception", "cannot", '"', "object", "upstream"]
 # Whole lines of failed pages.
 FAILED_LINES = [
     r"(?:http |error |erro |erreur |error:? )?[45]\d\d(?:[ :-]+(?:not found|forbidden|unauthori[sz]ed|bad request|bad gateway|service (?:temporarily )?unavailable|internal server error|too many requests|gateway time-?out))?",
@@ -131,7 +131,7 @@ def evidence(line: Column, low: Column) -> Column:
     plain = F.regexp_replace(line, named, " ")
     spoken = normal_line(_unquoted(line))
     bare = F.regexp_replace(normal_line(line), r"^[\s\"'*_>#-]+|[\s\"'*_.!…;:-]+$", "")
-    latin = rf"(?:\b{_trie(LATIN)}\b[\s,.;:!?]*){{{LATIN_RUN}}}"
+    latin = rf"(?:\b{_trie(LATIN)}\b[\s\u00a0\u2009\u202f\u3000,.;:!?]*){{{LATIN_RUN}}}"
     return (
         F.when(has(line, "{", "<", "%", "__", "@@", "#", "[", "XXXX", "TBD") & line.rlike(slots) & plain.rlike(slots), "slot")
         .when((F.length(line) < 120) & bare.rlike("^" + _any(FILLER_LINES) + "$") | low.rlike(latin), "filler")

@@ -18,6 +18,12 @@ CASES = [
     ("<p>&lt;&lt;doi&gt;&gt;</p>", "slot"),
     ("Duis cupidatat aute nulla nisi do duis nulla est.", "filler"),
     ("asdf asdf", "filler"),
+    ("We saw that lorem\u00a0ipsum\u00a0dolor\u00a0sit there.", "filler"),
+    ("lorem\u2009ipsum\u202fdolor\u3000sit", "filler"),
+    ("The page\u00a0you are looking for does not exist", "failure"),
+    ("The page\tyou are looking for does not exist", "failure"),
+    ("Ocorreu um erro\u00a0inesperado", "failure"),
+    ("Scripts are switched\u00a0off", "script"),
     ("Type your review here", "filler"),
     ("null", "filler"),
     ("503 Service Unavailable", "failure"),
