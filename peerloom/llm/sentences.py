@@ -83,10 +83,10 @@ PLACES = {"de": re.compile(rf"{END}+(?:“|{CLOSERS})*"), "th": re.compile(rf"{E
 _PLACE = re.compile(rf"{END}+{CLOSERS}*")
 _WINDOW = 24
 
-_QUOTES = re.compile(
-    r"\"(?=[^\s\"])(?:[^\"\n]|\n(?!\s*\n)){1,400}?\"|“(?:[^”“\n]|\n(?!\s*\n)){1,400}?”|„(?:[^“”„\n]|\n(?!\s*\n)){1,400}?[“”]|«(?:[^»\n]|\n(?!\s*\n)){1,400}?»"
-    r"|「(?:[^」\n]|\n(?!\s*\n)){1,400}?」|『(?:[^』\n]|\n(?!\s*\n)){1,400}?』|\((?:[^()\n]|\n(?!\s*\n)){1,400}?\)|（(?:[^（）\n]|\n(?!\s*\n)){1,400}?）|\[(?:[^\[\]\n]|\n(?!\s*\n)){1,400}?\]"
-)
+# What opens -> what closes it, and what must not stand between.
+_PAIRS = {'"': ('"', ""), "“": ("”", "“"), "„": ("“”", "„"), "«": ("»", ""), "「": ("」", ""), "『": ("』", ""), "(": (")", "("), "（": ("）", "（"), "[": ("]", "[")}
+_OPENERS = re.compile("[" + re.escape("".join(_PAIRS)) + "]")
+_NEXT = {k: re.compile("[" + re.escape(close + stop) + "]") for k, (close, stop) in _PAIRS.items()}
 _BLANK_LINE = re.compile(r"\n[^\S\n]*(?:\n[^\S\n]*)+|\r\n[^\S\n]*\r\n|[ ]")
 _LINE = re.compile(r"[^\n]+")
 HEADING_CHARS, HEADING_WORDS = 60, 7
@@ -107,6 +107,23 @@ def language_of(text: str, tag: str | None) -> str:
     return (tag or "").lower()[:2]
 
 
+def _quotations(paragraph: str) -> list[tuple[int, int]]:
+    """(start, end) of the quotations and brackets of a paragraph, however long; in one pass, as the next mark of a kind is kept."""
+    out, at, nexts = [], 0, {}
+    for m in _OPENERS.finditer(paragraph):
+        p, kind = m.start(), m.group()
+        if p < at or kind == '"' and not paragraph[p + 1 : p + 2].strip():
+            continue
+        if nexts.get(kind, -1) <= p:
+            found = _NEXT[kind].search(paragraph, p + 1)
+            nexts[kind] = found.start() if found else len(paragraph)
+        end = nexts[kind]
+        if p + 1 < end < len(paragraph) and paragraph[end] in _PAIRS[kind][0]:
+            at = end + 1
+            out.append((p, at))
+    return out
+
+
 def _headings(text: str, start: int, end: int) -> list[tuple[int, int]]:
     """(start, end) of the lines in a paragraph that are headings: short, first or after a finished line, without a mark."""
     out, fresh = [], True
@@ -143,7 +160,7 @@ def boundaries(text: str, tag: str | None = None) -> list[tuple[int, int]]:
             continue
         headings = [(a - start, b - start) for a, b in _headings(text, start, end)]
         cuts = [b for _, b in headings]
-        closed = sorted([m.span() for m in _QUOTES.finditer(paragraph)] + [(a, b + 1) for a, b in headings])
+        closed = sorted(_quotations(paragraph) + [(a, b + 1) for a, b in headings])
         k = 0
         for m in place.finditer(paragraph):
             p = m.end()

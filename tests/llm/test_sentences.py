@@ -62,3 +62,13 @@ def test_table(spark):
     assert rows_of(got.where("doc_id < 5").select("doc_id", "position", "start_char", "end_char", "sentence")) == [(1, 0, 0, 4, "One."), (1, 1, 5, 9, "Two."), (4, 0, 0, 9, "Ein Satz.")]
     assert got.where("doc_id = 5").count() == 50000
     assert sentences.sentences(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("marks", ["“”", "()", "«»", '""', "„“", "[]"])
+def test_long_quotations_and_brackets_stay_whole(marks):
+    said = ("One thing was said. " * 40).rstrip(". ")
+    text = f"The authors wrote {marks[0]}{said}{marks[1]} in the end. Then they left."
+    cut = text.index(" Then")
+    assert sentences.boundaries(text, "en") == [(0, cut), (cut + 1, len(text))]
+    # Marks that are never closed take time in proportion.
+    assert sentences._quotations("(«“" * 100_000) == []
