@@ -38,7 +38,7 @@ def fetch_missing(wanted: DataFrame, cached: DataFrame, fetch: Callable[[str, st
                     payload = fetch(namespace, key)
                     rows.append((namespace, key, "found" if payload is not None else "not_found", payload, None))
                 except Exception as e:
-                    rows.append((namespace, key, "error", None, str(e)[:200]))
+                    rows.append((namespace, key, "error", None, str(e)))
             yield pd.DataFrame(rows, columns=["namespace", "key", "status", "payload", "error"])
 
     got = todo.mapInPandas(run, "namespace string, key string, status string, payload string, error string")

@@ -12,14 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..storage import delete, publish_text, read_text
+
 SCHEMA_VERSION = 1
 
 
 class PageSource(DataSource):
     """spark.read.format("pages").option("path", folder).load(): a row for each record of numbered page files.
 
-    Pages are page-<n>.json with hits.hits and hits.total (a number or {value}). One partition a page; an absent or
-    empty page ends the scan."""
+    Pages are page-<n>.json with hits.hits and hits.total (a number or {value}). One partition a page; the first number
+    without a file ends the scan, or maxPages where that option is given. All executors must see the folder."""
 
     @classmethod
     def name(cls) -> str:
@@ -34,11 +36,11 @@ class PageSource(DataSource):
 
 class _PageReader(DataSourceReader):
     def __init__(self, options: dict) -> None:
-        self.folder, self.most = options["path"], int(options.get("maxPages", "1000000"))
+        self.folder, self.most = options["path"], options.get("maxPages")
 
     def partitions(self) -> list[InputPartition]:
         numbers = []
-        while len(numbers) < self.most and os.path.exists(f"{self.folder}/page-{len(numbers) + 1}.json"):
+        while (self.most is None or len(numbers) < int(self.most)) and os.path.exists(f"{self.folder}/page-{len(numbers) + 1}.json"):
             numbers.append(len(numbers) + 1)
         return [InputPartition(n) for n in numbers] or [InputPartition(0)]
 
@@ -88,20 +90,35 @@ def write_json(value: object, path: str) -> None:
     os.replace(part, target)
 
 
-def write_table(df: DataFrame, path: str, stage: str, complete: bool = True) -> None:
-    """A stage's table with a manifest that says which stage and schema it is of."""
-    df.write.mode("overwrite").parquet(f"{path}/data")
-    write_json({"stage": stage, "schema_version": SCHEMA_VERSION, "complete": complete, "columns": df.columns}, f"{path}/manifest.json")
+def write_table(df: DataFrame, path: str, stage: str, complete: bool = True, made_from: str = "") -> None:
+    """A stage's table with a manifest that says which stage and schema it is of and where its data lie.
+
+    Data go to a folder of their own and the manifest is moved into place last: whoever reads sees the table before or the
+    new one, never half of one. Data of the table before are deleted after that."""
+    spark = df.sparkSession
+    before = _manifest(spark, path)
+    data = f"data-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{data}")
+    publish_text(spark, f"{path}/manifest.json", json.dumps({"stage": stage, "schema_version": SCHEMA_VERSION, "complete": complete, "columns": df.columns, "made_from": made_from, "data": data}))
+    if before:
+        delete(spark, f"{path}/{before['data']}")
+
+
+def _manifest(spark: SparkSession, path: str) -> dict | None:
+    text = read_text(spark, f"{path}/manifest.json")
+    return json.loads(text) if text else None
 
 
 def read_table(spark: SparkSession, path: str, stage: str, allow_partial: bool = False) -> DataFrame:
-    """A stage's table. Another stage or version, and a partial one unless allowed, are refused."""
-    manifest = json.loads(Path(f"{path}/manifest.json").read_text(encoding="utf-8"))
+    """A stage's table. A missing one, another stage or version, and a partial one unless allowed, are refused."""
+    manifest = _manifest(spark, path)
+    if manifest is None:
+        raise FileNotFoundError(f"{path} holds no table: run stage {stage} first")
     if (manifest.get("stage"), manifest.get("schema_version")) != (stage, SCHEMA_VERSION):
         raise ValueError(f"{path} is not a table of stage {stage}, version {SCHEMA_VERSION}: run the stage before again")
     if manifest.get("complete") is not True and not allow_partial:
         raise ValueError(f"{path} is of a scan that did not end; say so to use it")
-    return spark.read.parquet(f"{path}/data")
+    return spark.read.parquet(f"{path}/{manifest['data']}")
 
 
 def as_text_columns(df: DataFrame) -> DataFrame:

@@ -23,6 +23,49 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for a path."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _hadoop(spark, path)
+    return fs.exists(where)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file on any file system that the session knows; null where there is none."""
+    fs, where = _hadoop(spark, path)
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file beside its place and move it into it in one step, over what is there."""
+    fs, where = _hadoop(spark, path)
+    _, part = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    hadoop, gateway = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._gateway
+    rename = getattr(hadoop, "Options$Rename")
+    options = gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(fs.makeQualified(where).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(part), fs.makeQualified(where), options)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends here and a lost executor loses nothing."""
     spark = df.sparkSession
@@ -37,9 +80,7 @@ def drop_scratch() -> None:
     while _written:
         spark, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            delete(spark, path)
         except Exception:  # the session is gone; the folder's owner cleans up
             return
 

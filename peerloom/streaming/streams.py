@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..operators.links import pending
-from ..storage import scratch_dir
+from ..storage import exists, scratch_dir
 
 
 def stream_of(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,23 +37,27 @@ def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
     base = f"{scratch_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{base}/out")
+        # A batch that is tried again writes over its own folder; a complete result replaces the one before.
+        batch.write.mode("overwrite").parquet(f"{base}/out/batch={0 if mode == 'complete' else number}")
 
     q = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").trigger(availableNow=True).foreachBatch(put).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{base}/out")
+    if not exists(spark, f"{base}/out"):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(StructType([*stream.schema.fields, StructField("batch", IntegerType())])).parquet(f"{base}/out").drop("batch")
 
 
 def enrich_new(targets: DataFrame, path: str, resolve: Callable[[DataFrame], DataFrame], state: str):
     """Start a query that resolves targets the table at path does not record yet; a second run adds only new ones."""
+    query = "q" + hashlib.sha256(state.encode()).hexdigest()[:12]  # batches are numbered anew for each state
+
     def batch(rows: DataFrame, number: int) -> None:
         spark = rows.sparkSession
-        try:
-            done = spark.read.parquet(path)
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            done = rows.select("target_value").limit(0)
-        resolve(pending(rows.dropDuplicates(["target_value"]), done, "target_value")).write.mode("append").parquet(path)
+        # What this batch wrote before it failed is not done: it is written again, over its own folder.
+        mine = f"{query}-{number}"
+        done = rows.select("target_value").limit(0)
+        if exists(spark, path):
+            done = spark.read.parquet(path).where(F.col("batch") != mine).select("target_value")
+        resolve(pending(rows.dropDuplicates(["target_value"]), done, "target_value")).write.mode("overwrite").parquet(f"{path}/batch={mine}")
 
     return targets.writeStream.option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(batch).start()

@@ -79,6 +79,11 @@ def test_stage_tables_are_gated(spark, tmp_path):
     with pytest.raises(ValueError):
         files.read_table(spark, path, "merge", allow_partial=True)
     assert files.read_table(spark, path, "scan", allow_partial=True).count() == 3
+    files.write_table(spark.range(5), path, "scan")
+    assert files.read_table(spark, path, "scan").count() == 5
+    assert len([p for p in (tmp_path / "stage").iterdir() if p.name.startswith("data-")]) == 1
+    with pytest.raises(FileNotFoundError):
+        files.read_table(spark, str(tmp_path / "none"), "scan")
     files.write_json({"a": "é"}, str(tmp_path / "x/report.json"))
     assert files.read_json(spark, str(tmp_path / "x/report.json")).first().a == "é"
 
@@ -91,6 +96,37 @@ def test_streams(spark, tmp_path):
     assert sorted(r.k for r in streams.drain(streams.unique_within(stream, "k", "at", "30 days")).collect()) == [0, 1, 2, 3, 4]
     counts = streams.drain(streams.counts_by_window(stream, "at", "k", "1 day", "1 hour"), "complete").collect()
     assert sum(r.n for r in counts) == 50 and len(counts) == 12
+    # By windows that are over, an hour after which nothing of them can come: all but the last day.
+    closed = streams.drain(streams.counts_by_window(stream, "at", "k", "1 day", "1 hour")).collect()
+    assert sum(r.n for r in closed) == 48 and len(closed) == 10
+
+
+def test_late_rows_are_dropped_and_state_forgotten(spark, tmp_path):
+    """One file a batch: what comes behind the watermark is left out, and a key that was forgotten counts as new."""
+    folder = str(tmp_path / "in")
+    for i, rows in enumerate([[("a", 1), ("b", 1)], [("c", 10)], [("late", 2), ("d", 10)], [("a", 11)]]):
+        df = spark.createDataFrame(rows, "k string, day int").selectExpr("k", "make_timestamp(2024, 1, day, 0, 0, 0) as at")
+        df.coalesce(1).write.mode("append").parquet(f"{folder}/part={i}")
+    paths = spark.readStream.schema("k string, at timestamp").option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(f"{folder}/*")
+    got = sorted(r.k for r in streams.drain(streams.unique_within(paths, "k", "at", "2 days")).collect())
+    assert "late" not in got and got.count("a") == 2 and {"b", "c", "d"} <= set(got)
+
+
+def test_a_batch_that_is_tried_again_is_written_once(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("a",), ("b",)], "target_value string").coalesce(1).write.parquet(folder)
+    broken = []
+
+    def resolve(rows):
+        rows = rows.withColumn("status", F.lit("resolved"))
+        if not broken:
+            broken.append(rows.write.parquet(f"{out}/batch=q0-0"))  # as if of a query with another state
+        return rows
+
+    for _ in range(2):
+        stream = spark.readStream.schema("target_value string").parquet(folder)
+        streams.enrich_new(stream, out, resolve, str(tmp_path / "s1")).awaitTermination()
+    assert sorted(r.target_value for r in spark.read.parquet(out).where("batch != 'q0-0'").collect()) == ["a", "b"]
 
 
 def test_second_enrichment_adds_only_new_targets(spark, tmp_path):
