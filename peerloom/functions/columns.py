@@ -31,18 +31,37 @@ def body_hash(c: Column) -> Column:
 
 def doi(c: Column) -> Column:
     """The lower-case DOI in an identifier, resolver address or labelled text; an empty string if it holds none."""
-    bare = F.regexp_replace(F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), f"(?i){RESOLVER}", ""), "(?i)^doi:\\s*", "")
+    c = F.coalesce(c, F.lit(""))
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x2F;", "/"), ("&#47;", "/"), ("&amp;", "&")):
+        c = F.replace(c, F.lit(entity), F.lit(sign))
+    bare = F.regexp_replace(F.regexp_replace(F.trim(c), f"(?i){RESOLVER}", ""), "(?i)^doi:\\s*", "")
     bare = F.regexp_replace(bare, "[.,;:)\\]}>]+$", "")
     return F.when(bare.rlike(f"^{DOI}$"), F.lower(bare)).otherwise("")
 
 
-def arxiv_id(c: Column) -> Column:
-    return F.lower(F.regexp_extract(F.coalesce(c, F.lit("")), f"(?i)^(?:arxiv:)?{ARXIV}$", 1))
+def _arxiv(c: Column, group: int) -> Column:
+    """A part of the identifier a text is, else of the first one it holds, as in an address or a report number."""
+    c = F.coalesce(c, F.lit(""))
+    whole = F.regexp_extract(c, f"(?i)^(?:arxiv:)?{ARXIV}$", group)
+    return F.when(c.rlike(f"(?i)^(?:arxiv:)?{ARXIV}$"), whole).otherwise(F.regexp_extract(c, f"(?i)(?:arxiv[.:/]|/abs/|/pdf/){ARXIV}", group))
+
 
+def arxiv_id(c: Column) -> Column:
+    return F.lower(_arxiv(c, 1))
 
 
 def arxiv_version(c: Column) -> Column:
-    return F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), f"(?i)^(?:arxiv:)?{ARXIV}$", 2), F.lit("")).cast("int")
+    return F.nullif(_arxiv(c, 2), F.lit("")).cast("int")
+
+
+def output_family(c: Column) -> Column:
+    """The family of an identifier as it is written out: that of its DOI; an empty string if it holds none."""
+    return F.when(doi(c) != "", family(doi(c))).otherwise("")
+
+
+def encoded(c: Column) -> Column:
+    """Percent-encoded, with no character kept safe but letters, digits and -_.~; blanks as %20."""
+    return F.replace(F.replace(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20")), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
 
 def family(doi_value: Column) -> Column:

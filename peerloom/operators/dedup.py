@@ -12,8 +12,9 @@ from ..functions.columns import body_hash, name_keys
 
 
 def unique_records(rows: DataFrame, key: str, latest: str) -> DataFrame:
-    """One row for each key: the one harvested last. An aggregate with partial results, so that a hot key is no burden."""
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct("*"), F.struct(latest, F.to_json(F.struct(key)))).alias("__r")).select("__r.*")
+    """One row for each key: the one harvested last, ties going to the greater hash of the whole row, whatever the order of
+    rows. An aggregate with partial results, so that a hot key is no burden."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.max_by(F.struct("*"), F.struct(latest, F.xxhash64("*"))).alias("__r")).select("__r.*")
 
 
 def repeated_records(rows: DataFrame, key: str) -> DataFrame:
@@ -37,3 +38,9 @@ def mark_duplicates(rows: DataFrame, scope: list[str | Column], key: str, order:
 def participants(creators: str | Column) -> Column:
     """The people of a record as one key, whatever their order."""
     return F.array_join(F.array_sort(name_keys(F.col(creators) if isinstance(creators, str) else creators)), "|")
+
+
+def log(marked: DataFrame, kind: str, key: str, survivor: str) -> DataFrame:
+    """record_type, removed_id, kept_id for the rows of mark_duplicates that did not survive."""
+    gone = marked.where(F.col(key) != F.col(survivor))
+    return gone.select(F.lit(kind).alias("record_type"), F.col(key).alias("removed_id"), F.col(survivor).alias("kept_id"))

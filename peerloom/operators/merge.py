@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import first_seen, orcids
+from ..functions.columns import first_match, first_seen, orcids
 
 
 def target_key(c: Column) -> Column:
@@ -14,12 +17,25 @@ def target_key(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "^https?://[^/]+/", ""), "^(?:doi|arxiv): *", "")
 
 
-def ranked_answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
-    """One row for each answer: target, rank (trust first, then id), and what it has of title, authors and year."""
+def ranked_answers(metadata: DataFrame, providers: DataFrame, swap: tuple[list[str], str, str] | None = None) -> DataFrame:
+    """One row for each answer: target, rank (trust first, then id), and what it has of title, authors and year.
+
+    swap: (prefixes, one, other): for targets that begin with one of the prefixes two providers change places."""
     ranks = F.broadcast(providers.select("provider", "trust_rank"))  # a fixed table
     rows = metadata.select(target_key(F.col("target_value")).alias("target_value"), "provider_record_id", "provider", "title", "authors", "author_orcids", "year", "venue_candidates", "fields")
     rows = rows.groupBy("target_value", "provider_record_id").agg(F.max(F.struct("provider", "title", "authors", "author_orcids", "year", "venue_candidates", "fields")).alias("r")).select("target_value", "provider_record_id", "r.*")
+    if swap:
+        prefixes, one, other = swap
+        turned = begins_with(F.col("target_value"), prefixes)
+        asked = F.when(turned & (F.col("provider") == one), other).when(turned & (F.col("provider") == other), one).otherwise(F.col("provider"))
+        rows = rows.withColumn("asked", asked).join(ranks.withColumnRenamed("provider", "asked"), "asked", "left").drop("asked")
+        rows = rows.withColumn("trust_rank", F.coalesce("trust_rank", F.lit(99)))
+        return _cleaned(rows)
     rows = rows.join(ranks, "provider", "left").withColumn("trust_rank", F.coalesce("trust_rank", F.lit(99)))
+    return _cleaned(rows)
+
+
+def _cleaned(rows: DataFrame) -> DataFrame:
     blank = lambda c: F.trim(F.coalesce(F.col(c), F.lit(""))) == ""
     return (
         rows.withColumn("title", F.when(~blank("title"), F.trim("title")))
@@ -31,17 +47,31 @@ def ranked_answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     )
 
 
-def contributing(answers: DataFrame) -> DataFrame:
-    """Answers up to the one that completes title, authors and year of its target; later ones add nothing.
+def begins_with(c: Column, prefixes: list[str]) -> Column:
+    return reduce(or_, [F.startswith(c, F.lit(p)) for p in prefixes], F.lit(False))
+
 
-    The survey's MRG-04 also waits for a venue; that is left out here.
-    """
+def has_venue(by_prefix: list[tuple[str, str]], names: list[str]) -> Column:
+    """Whether the target's identifier tells a venue or a venue candidate of the answer holds a listed name (lower case)."""
+    listed = F.exists("venue_candidates", lambda c: reduce(or_, [F.contains(F.lower(c), F.lit(n)) for n in names], F.lit(False)))
+    return (first_match(F.col("target_value"), by_prefix, "startswith") != "") | listed
+
+
+def contributing(answers: DataFrame, venue: Column) -> DataFrame:
+    """Answers up to the one that completes title, authors, year and venue of its target; later ones add nothing.
+
+    venue tells of an answer whether it has one (has_venue)."""
     before = Window.partitionBy("target_value").orderBy("trust_rank", "provider_record_id").rowsBetween(Window.unboundedPreceding, -1)
     had = lambda c: F.coalesce(F.max(c.cast("int")).over(before), F.lit(0)) == 1
-    complete = had(F.col("title").isNotNull()) & had(F.size("authors") > 0) & had(F.col("year").isNotNull())
+    complete = had(F.col("title").isNotNull()) & had(F.size("authors") > 0) & had(F.col("year").isNotNull()) & had(venue)
     return answers.withColumn("done", complete).where("not done").drop("done")
 
 
+def found(merged: DataFrame) -> DataFrame:
+    """merged with found: whether a target has any of title, authors and year."""
+    return merged.withColumn("found", F.col("title").isNotNull() | (F.coalesce(F.size("authors"), F.lit(0)) > 0) | F.col("year").isNotNull())
+
+
 def merge_answers(answers: DataFrame) -> DataFrame:
     """One row for each target: the first title, authors and year by rank with the provider each came from, all ORCIDs,
     venue candidates and fields in rank order, and the providers used."""

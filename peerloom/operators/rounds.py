@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,10 +38,24 @@ def representative(rows: DataFrame, group: str, value: str, order: list[str]) ->
     return best.select(group, "b.*")
 
 
+def positions(rows: DataFrame, group: list[str], order: list[str], into: str) -> DataFrame:
+    """rows with their number from 1 in the order of their group.
+
+    Numbers run inside the ranges of equal first order column; the totals of the ranges before are added. So a hot group is
+    spread over as many tasks as it has such values, and only their totals come together."""
+    ranged = Window.partitionBy(*group, order[0])
+    totals = rows.groupBy(*group, order[0]).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*group).orderBy(order[0]).rowsBetween(Window.unboundedPreceding, -1))
+    totals = totals.select(*[F.col(c).alias(f"__{c}") for c in [*group, order[0]]], F.coalesce(before, F.lit(0)).alias("__before"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in [*group, order[0]]])
+    inside = F.row_number().over(ranged.orderBy(*order))
+    return rows.join(totals, same).withColumn(into, (F.col("__before") + inside).cast("int")).drop("__before", *[f"__{c}" for c in [*group, order[0]]])
+
+
 def timeline(events: DataFrame, group: str) -> DataFrame:
     """group, position, kind, event_id, event_date: events in the order date, reviews first, id."""
-    order = Window.partitionBy(group).orderBy("event_date", F.col("kind") != "review", "event_id")
-    return events.withColumn("position", F.row_number().over(order)).select(group, "position", "kind", "event_id", "event_date")
+    rows = events.select(group, "kind", "event_id", "event_date", (F.col("kind") != "review").alias("reply"))
+    return positions(rows, [group], ["event_date", "reply", "event_id"], "position").select(group, "position", "kind", "event_id", "event_date")
 
 
 def out_of_order(events: DataFrame, group: str, position: str, value: str) -> DataFrame:

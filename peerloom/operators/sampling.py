@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import seeded
+from ..storage import materialise
 
 
 def ordered(rows: DataFrame, key: str, seed: str, tier: Column | None = None) -> DataFrame:
@@ -44,3 +45,21 @@ def order_fingerprint(rows: DataFrame, key: str) -> DataFrame:
     ranges = rows.groupBy("tier", part.alias("range")).agg(F.sha2(inside, 256).alias("h"), F.count("*").alias("n"))
     chained = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("tier", "range", "h"))), lambda x: x["h"]), "\n")
     return ranges.agg(F.sha2(chained, 256).alias("fingerprint"), F.sum("n").alias("keys"))
+
+
+def numbered(rows: DataFrame, order: list[str], into: str) -> DataFrame:
+    """rows with their number from 1 in a global order, by range partitions: each numbers its own rows, and the totals of
+    those before it, one number a partition, are added."""
+    ranged = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    # Written, so that the partitions are the same in both reads.
+    ranged = materialise(ranged, "ranged")
+    totals = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return ranged.join(F.broadcast(totals.select("__part", before.alias("__before"))), "__part").withColumn(into, (F.col("__before") + inside).cast("int")).drop("__part", "__before")
+
+
+def examples(rows: DataFrame, reason: str, key: str, most: int) -> DataFrame:
+    """reason, key: the first few rows of each reason in the order (tier, place), for a report."""
+    order = Window.partitionBy(reason).orderBy("tier", "place")
+    return rows.where(F.col(reason).isNotNull()).withColumn("__i", F.row_number().over(order)).where(F.col("__i") <= most).select(reason, key)

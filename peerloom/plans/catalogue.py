@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import texts as X
-from ..operators import dedup, ingest, links, merge, rounds, sampling, threads, validate
+from ..operators import dedup, ingest, links, merge, papers, rounds, sampling, threads, validate
 from ..sources import files
 from ..sources.tables import table
 from ..storage import scratch_dir
@@ -31,6 +32,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# Identifier prefixes of the test tables and a label for each, more specific ones first.
+PREFIXES = [("10.99011/quarry.", "Quarry"), ("10.99012/bq.", "BioQuarry"), ("10.99013/hall", "Deposit Hall"), ("10.99014/omp/", "Open Meridian Preprints"), ("10.99015/strand.", "Strand"), ("10.99016/", "Other")]
+# Of these prefixes a venue follows from the identifier alone, and for those the second provider is asked first.
+VENUE_PREFIXES = PREFIXES[:3]
+SWAP = (["10.99013/", "10.99014/"], "CrossIndex", "DataRegister")
+_BY_PREFIX = "case " + " ".join(f"when starts_with(o.target_value, '{p}') then '{v}'" for p, v in VENUE_PREFIXES) + " else '' end"
+_SWAPPED = "(" + " or ".join(f"starts_with(o.target_value, '{p}')" for p in SWAP[0]) + ")"
+
 # SQL shared by several queries.
 FOLD = r"trim(regexp_replace(lower(coalesce({0}, '')), '[ \t\r\n\f]+', ' ', 'g'))"
 BODY = f"sha256({FOLD})"
@@ -46,11 +55,12 @@ NUMBERED = VERSIONS + ", numbered as (select *, cast(row_number() over (partitio
 EVENTS = f"{REVIEWS}, {INTERACTIONS}, {MARKED}, linked as (select i.event_id, m.kept review_id, m.value from inter i join marked m on i.target_review_id = m.review_id), events as (select 'review' kind, review_id event_id, review_id, family_key, value, review_date event_date from marked where review_id = kept union all select i.kind, i.event_id, l.review_id, i.family_key, l.value, i.event_date from inter i join linked l on i.event_id = l.event_id)"
 TARGET = r"regexp_replace(regexp_replace(regexp_replace(lower(trim({0}, ' ')), '[ .]+$', ''), '^https?://[^/]+/', ''), '^(?:doi|arxiv): *', '')"
 ANSWERS = (
-    f"one as (select {TARGET.format('target_value')} target_value, provider_record_id, max(struct_pack(provider := provider, title := title, authors := authors, author_orcids := author_orcids, year := year)) r from provider_metadata group by 1, 2), "
-    "ranked as (select o.target_value, o.provider_record_id, o.r.provider provider, coalesce(p.trust_rank, 99) trust_rank, nullif(trim(o.r.title, ' '), '') title, "
+    f"one as (select {TARGET.format('target_value')} target_value, provider_record_id, max(struct_pack(provider := provider, title := title, authors := authors, author_orcids := author_orcids, year := year, venue_candidates := venue_candidates)) r from provider_metadata group by 1, 2), "
+    "venue_of as (select distinct u.target_value, u.provider_record_id from (select target_value, provider_record_id, unnest(r.venue_candidates) c from one) u join venues v on contains(lower(trim(u.c, ' ')), lower(v.venue_name))), "
+    f"ranked as (select o.target_value, o.provider_record_id, o.r.provider provider, coalesce(p.trust_rank, 99) trust_rank, ({_BY_PREFIX}) <> '' or vo.target_value is not null has_venue, nullif(trim(o.r.title, ' '), '') title, "
     "list_filter(list_transform(coalesce(o.r.authors, []), lambda x: trim(x, ' ')), lambda x: x is not null and x <> '') authors, "
-    "case when regexp_matches(trim(o.r.year, ' '), '^[0-9]{4}$') then trim(o.r.year, ' ') end \"year\" from one o left join providers p on o.r.provider = p.provider), "
-    "running as (select *, coalesce(bool_or(title is not null) over w, false) and coalesce(bool_or(len(authors) > 0) over w, false) and coalesce(bool_or(year is not null) over w, false) done from ranked window w as (partition by target_value order by trust_rank, provider_record_id rows between unbounded preceding and 1 preceding)), used as (select * from running where not done)"
+    f"case when regexp_matches(trim(o.r.year, ' '), '^[0-9]{{4}}$') then trim(o.r.year, ' ') end \"year\" from one o left join providers p on p.provider = case when {_SWAPPED} and o.r.provider = '{SWAP[1]}' then '{SWAP[2]}' when {_SWAPPED} and o.r.provider = '{SWAP[2]}' then '{SWAP[1]}' else o.r.provider end left join venue_of vo on vo.target_value = o.target_value and vo.provider_record_id = o.provider_record_id), "
+    "running as (select *, coalesce(bool_or(title is not null) over w, false) and coalesce(bool_or(len(authors) > 0) over w, false) and coalesce(bool_or(year is not null) over w, false) and coalesce(bool_or(has_venue) over w, false) done from ranked window w as (partition by target_value order by trust_rank, provider_record_id rows between unbounded preceding and 1 preceding)), used as (select * from running where not done)"
 )
 ORDERED = f"families as (select family_key, count(distinct target_value) n, max(case when status = 'resolved' then 1 else 0 end) resolved from targets where family_key is not null group by 1), placed as (select *, sha256('{SEED}' || chr(0) || family_key) place from families)"
 
@@ -72,7 +82,16 @@ def _events(s: SparkSession, d: str) -> DataFrame:
 
 
 def _answers(s: SparkSession, d: str) -> DataFrame:
-    return merge.ranked_answers(table(s, d, "provider_metadata"), table(s, d, "providers"))
+    return merge.ranked_answers(table(s, d, "provider_metadata"), table(s, d, "providers"), SWAP)
+
+
+def _venue_names(s: SparkSession, d: str) -> list[str]:
+    """The names of the list, a fixed table of 40."""
+    return [r[0].lower() for r in table(s, d, "venues").orderBy("venue_id").select("venue_name").collect()]
+
+
+def _contributing(s: SparkSession, d: str) -> DataFrame:
+    return merge.contributing(_answers(s, d), merge.has_venue(VENUE_PREFIXES, _venue_names(s, d)))
 
 
 def _families(s: SparkSession, d: str) -> DataFrame:
@@ -155,11 +174,11 @@ def field_list(s: SparkSession, d: str) -> DataFrame:
     return rows.distinct()
 
 
-@query(r"""with m as (select provider_record_id, max(title) title, max(target_value) t from provider_metadata group by 1), h as (select target.value v, min(title_hint) hint from reviews where trim(coalesce(title_hint, '')) <> '' group by 1),
+@query((r"""with m as (select provider_record_id, max(title) title, max({TARGET.format("target_value")}) t from provider_metadata group by 1), h as (select target.value v, min(title_hint) hint from reviews where trim(coalesce(title_hint, '')) <> '' group by 1),
 p as (select provider_record_id, list_distinct(regexp_extract_all(lower(coalesce(title, '')), '[a-z0-9]+')) a, list_distinct(regexp_extract_all(lower(hint), '[a-z0-9]+')) b from m join h on t = v)
-select provider_record_id, case when len(a) = 0 or len(b) = 0 then 1.0 else round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) end jaccard from p""")
+select provider_record_id, case when len(a) = 0 or len(b) = 0 then 1.0 else round(len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))), 6) end jaccard from p""").replace('{TARGET.format("target_value")}', TARGET.format("target_value")))
 def title_jaccard(s: SparkSession, d: str) -> DataFrame:
-    m = table(s, d, "provider_metadata").groupBy("provider_record_id").agg(F.max("title").alias("title"), F.max("target_value").alias("t"))
+    m = table(s, d, "provider_metadata").groupBy("provider_record_id").agg(F.max("title").alias("title"), F.max(merge.target_key(F.col("target_value"))).alias("t"))
     h = table(s, d, "reviews").where("trim(coalesce(title_hint, '')) != ''").groupBy(F.col("target.value").alias("v")).agg(F.min("title_hint").alias("hint"))
     return m.join(h, F.col("t") == F.col("v")).select("provider_record_id", F.round(C.word_jaccard(F.col("title"), F.col("hint")), 6).alias("jaccard"))
 
@@ -172,10 +191,6 @@ def alias_match(s: SparkSession, d: str) -> DataFrame:
     return x.select("candidate", C.first_match(F.lower("candidate"), names).alias("venue"))
 
 
-# Identifier prefixes of the test tables and a label for each, more specific ones first.
-PREFIXES = [("10.99011/quarry.", "Quarry"), ("10.99012/bq.", "BioQuarry"), ("10.99013/hall", "Deposit Hall"), ("10.99014/omp/", "Open Meridian Preprints"), ("10.99015/strand.", "Strand"), ("10.99016/", "Other")]
-
-
 @query("select target_value, case " + " ".join(f"when starts_with(doi, '{p}') then '{v}'" for p, v in PREFIXES) + " else '' end venue from targets")
 def prefix_match(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "targets").select("target_value", C.first_match(F.coalesce("doi", F.lit("")), PREFIXES, "startswith").alias("venue"))
@@ -225,9 +240,11 @@ def link_verified(s: SparkSession, d: str) -> DataFrame:
     return inter.select("event_id", F.col("family_key").alias("own")).join(found, "event_id").select("event_id", F.col("own").eqNullSafe(F.col("family_key")).alias("verified"))
 
 
-@query("select target_value, status from targets t where not exists (select 1 from provider_metadata p where p.target_value = t.target_value)")
+@query(f"select target_value, status from targets t where not exists (select 1 from provider_metadata p where {TARGET.format('p.target_value')} = t.target_value)")
 def pending_targets(s: SparkSession, d: str) -> DataFrame:
-    return links.pending(table(s, d, "targets").select("target_value", "status"), table(s, d, "provider_metadata"), "target_value")
+    """Targets without an answer, in whatever form the answer names its target."""
+    answered = table(s, d, "provider_metadata").select(merge.target_key(F.col("target_value")).alias("target_value"))
+    return links.pending(table(s, d, "targets").select("target_value", "status"), answered, "target_value")
 
 
 @query("select distinct target.value target_value from reviews r where not exists (select 1 from targets t where t.target_value = r.target.value and t.status = 'resolved')")
@@ -303,8 +320,8 @@ def representative_hint(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {REVIEWS} select family_key, value target_value, review_id, cast(row_number() over (partition by family_key, value order by review_date, review_id) as int) place from flat")
 def review_order(s: SparkSession, d: str) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy("family_key", "value").orderBy("review_date", "review_id"))
-    return _flat(s, d).select("family_key", F.col("value").alias("target_value"), "review_id", place.alias("place"))
+    rows = rounds.positions(_flat(s, d).select("family_key", "value", "review_date", "review_id"), ["family_key", "value"], ["review_date", "review_id"], "place")
+    return rows.select("family_key", F.col("value").alias("target_value"), "review_id", "place")
 
 
 @query(f"with {EVENTS} select value target_value, cast(row_number() over (partition by value order by event_date, kind <> 'review', event_id) as int) position, kind, event_id, event_date from events")
@@ -349,7 +366,7 @@ def rejections_until_limit(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {ANSWERS} select target_value, provider_record_id, provider, trust_rank from used")
 def provider_early_stop(s: SparkSession, d: str) -> DataFrame:
-    return merge.contributing(_answers(s, d)).select("target_value", "provider_record_id", "provider", "trust_rank")
+    return _contributing(s, d).select("target_value", "provider_record_id", "provider", "trust_rank")
 
 
 @query(
@@ -357,13 +374,13 @@ def provider_early_stop(s: SparkSession, d: str) -> DataFrame:
     "coalesce(len(list_distinct(arg_min(authors, place) filter (where len(authors) > 0))), -1) n_authors, arg_min(provider, place) filter (where len(authors) > 0) authors_from, arg_min(\"year\", place) filter (where \"year\" is not null) \"year\", arg_min(provider, place) filter (where \"year\" is not null) year_from, count(*) answers from k group by 1"
 )
 def provider_merge(s: SparkSession, d: str) -> DataFrame:
-    m = merge.merge_answers(merge.contributing(_answers(s, d)))
+    m = merge.merge_answers(_contributing(s, d))
     return m.select("target_value", "title", "title_from", F.coalesce(F.size("authors"), F.lit(-1)).alias("n_authors"), "authors_from", "year", "year_from", "answers")
 
 
 @query(f"with {ANSWERS}, p as (select target_value, unnest(['title', 'authors', 'year']) field, unnest([title is not null, len(authors) > 0, year is not null]) has, provider, trust_rank, provider_record_id from used) select target_value, field, arg_min(provider, struct_pack(a := trust_rank, b := provider_record_id)) source from p where has group by 1, 2")
 def provider_provenance(s: SparkSession, d: str) -> DataFrame:
-    m = merge.merge_answers(merge.contributing(_answers(s, d)))
+    m = merge.merge_answers(_contributing(s, d))
     rows = m.select("target_value", F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"{f}_from").alias("source")) for f in ("title", "authors", "year")])).alias("p"))
     return rows.select("target_value", "p.field", "p.source").where("source is not null")
 
@@ -433,6 +450,141 @@ def validate_rounds(s: SparkSession, d: str) -> DataFrame:
     return validate.all_issues(gaps, validate.repeated_keys(table(s, d, "reviews"), "review_id", "repeated_id")).select("constraint", "record_key")
 
 
+# Threads, papers and their audit
+
+PLACED = f"{EVENTS}, placed_events as (select *, cast(row_number() over (partition by family_key, value order by event_date, kind <> 'review', event_id) as int) position from events), thread as (select n.family_key, n.value, n.version, n.round, p.position, p.kind, p.event_id, p.review_id, p.event_date from ({NUMBERED[NUMBERED.index('numbered as (') + len('numbered as (') : -1].replace('from versions', 'from versions_')}) n join placed_events p on n.family_key = p.family_key and n.value = p.value)"
+PLACED = VERSIONS.replace("versions as (", "versions_ as (", 1) + ", " + PLACED
+
+
+@query(f"with {PLACED} select family_key, value target_value, version, round, position, kind, event_id, review_id, event_date from thread")
+def thread_events(s: SparkSession, d: str) -> DataFrame:
+    rows = threads.thread_events(table(s, d, "reviews"), table(s, d, "author_responses"), table(s, d, "discussion_comments"))
+    return rows.select("family_key", F.col("value").alias("target_value"), "version", "round", "position", "kind", "event_id", "review_id", "event_date")
+
+
+@query(f"with {PLACED} select family_key, value target_value, round, cast(ceil(position / {threads.PART_EVENTS}.0) as int) part, count(*) filter (kind = 'review') comments, count(*) filter (kind = 'response') responses, count(*) filter (kind = 'discussion') discussions, string_agg(event_id, ' ' order by position) timeline from thread group by 1, 2, 3, 4")
+def thread_parts(s: SparkSession, d: str) -> DataFrame:
+    """The nested rounds, as the sizes of their lists and the ids of their timeline."""
+    rows = threads.threads(table(s, d, "reviews"), table(s, d, "author_responses"), table(s, d, "discussion_comments"))
+    ids = F.array_join(F.transform("timeline", lambda e: e["event_id"]), " ")
+    return rows.select("family_key", F.col("value").alias("target_value"), "round", "part", *[F.size(c).cast("long").alias(c) for c in ("comments", "responses", "discussions")], ids.alias("timeline"))
+
+
+LATEST = f"latest as (select family_key, arg_max(value, struct_pack(a := version is not null, b := coalesce(version, 0), c := value)) latest, count(*) rounds from ({VERSIONS[VERSIONS.index('(') + 1 : -1]}) group by 1)"
+_MERGED = (
+    "merged as (select target_value, arg_min(title, struct_pack(a := trust_rank, b := provider_record_id)) filter (where title is not null) title, arg_min(authors, struct_pack(a := trust_rank, b := provider_record_id)) filter (where len(authors) > 0) authors, "
+    "arg_min(\"year\", struct_pack(a := trust_rank, b := provider_record_id)) filter (where \"year\" is not null) \"year\", list_sort(list(distinct provider)) sources from used group by 1)"
+)
+PAPERS = f"{ANSWERS}, {LATEST}, {_MERGED}, papers as (select l.family_key, coalesce(t.doi, '') doi, l.latest target_value, m.title, m.authors, m.\"year\", l.rounds from latest l left join merged m on l.latest = m.target_value left join (select target_value, max(doi) doi from targets group by 1) t on l.latest = t.target_value)"
+
+
+def _papers(s: SparkSession, d: str) -> DataFrame:
+    return papers.papers(_versions(s, d), merge.merge_answers(_contributing(s, d)), table(s, d, "targets"))
+
+
+@query(f"with {PAPERS} select family_key, doi, target_value, title, coalesce(len(authors), -1) n_authors, \"year\", rounds from papers")
+def papers_built(s: SparkSession, d: str) -> DataFrame:
+    return _papers(s, d).select("family_key", "doi", "target_value", "title", F.coalesce(F.size("authors"), F.lit(-1)).alias("n_authors"), "year", "rounds")
+
+
+@query(
+    f"with {PAPERS}, i as (select family_key, unnest([struct_pack(c := 'doi_shape', b := doi = ''), struct_pack(c := 'title_missing', b := trim(coalesce(title, '')) = ''), struct_pack(c := 'title_markup', b := regexp_matches(coalesce(title, ''), '(?i)</?(?:" + "|".join(C.TAGS) + ")(?:[ /][^<>]*)?>|[\\r\\n]')), "
+    "struct_pack(c := 'year_shape', b := not regexp_full_match(coalesce(\"year\", ''), '[0-9]{4}')), struct_pack(c := 'year_range', b := regexp_full_match(coalesce(\"year\", ''), '[0-9]{4}') and not \"year\" between '1900' and '2026'), struct_pack(c := 'authors_missing', b := coalesce(len(authors), 0) < 1), struct_pack(c := 'rounds_missing', b := rounds < 1)]) x from papers) "
+    "select x.c \"constraint\", family_key record_key from i where x.b union all select 'family_repeated', f from (select 'doi:' || regexp_replace(lower(trim(doi)), '(?:[._-]v|/v|[._-]version)([0-9]+)$', '') f, count(*) n from papers where doi <> '' group by 1) where n > 1"
+)
+def validate_papers(s: SparkSession, d: str) -> DataFrame:
+    rows = _papers(s, d)
+    issues = validate.breaches(rows, "family_key", validate.paper_constraints(1900, 2026)).unionByName(validate.repeated_families(rows))
+    return issues.unionByName(validate.shape(rows, papers.COLUMNS)).select("constraint", "record_key")
+
+
+@query(
+    f"with {PLACED}, own as (select distinct family_key, value, event_id from thread where kind = 'review'), a as (select family_key || ' ' || value k, count(*) filter (kind = 'review') r, max(position) m, count(*) n from thread group by 1) select 'round_without_review' \"constraint\", k record_key from a where r = 0 "
+    "union all select 'timeline_positions', k from a where m <> n union all select 'event_twice', k from (select family_key || ' ' || value k, event_id, count(*) n from thread group by 1, 2) where n > 1 "
+    "union all select 'reply_outside_round', t.family_key || ' ' || t.value from thread t where kind <> 'review' and not exists (select 1 from own o where o.family_key = t.family_key and o.value = t.value and o.event_id = t.review_id)"
+)
+def validate_threads(s: SparkSession, d: str) -> DataFrame:
+    """Rounds without a review, events that stand twice, replies outside their round and gaps in the timeline."""
+    rows = threads.thread_events(table(s, d, "reviews"), table(s, d, "author_responses"), table(s, d, "discussion_comments"))
+    return validate.round_shape(rows).select("constraint", "record_key")
+
+
+@query(f"with {PLACED}, ids as (select event_id from inter union select review_id from flat), w as (select distinct event_id from thread) select 'timeline_missing' \"constraint\", event_id record_key from ids where event_id not in (select event_id from w) union all select 'timeline_unexpected', event_id from w where event_id not in (select event_id from ids)")
+def validate_coverage(s: SparkSession, d: str) -> DataFrame:
+    """Reviews and interactions that stand in no timeline: removed duplicates and those without a review."""
+    ids = _interactions(s, d).select("event_id").unionByName(_flat(s, d).select(F.col("review_id").alias("event_id")))
+    return validate.coverage(ids, threads.thread_events(table(s, d, "reviews"), table(s, d, "author_responses"), table(s, d, "discussion_comments")), "event_id", "timeline").select("constraint", "record_key")
+
+
+@query(
+    f"with {PAPERS}, a as (select cast(row_number() over (order by family_key) as int) position, * from papers), r as (select cast(row_number() over (order by doi, family_key) as int) position, doi from papers where title is not null), "
+    "j as (select coalesce(a.position, r.position) position, a.position is not null has_a, r.position is not null has_r, a.doi adoi, r.doi rdoi, a.family_key, a.title is null or a.authors is null or a.\"year\" is null bare from a full join r on a.position = r.position) "
+    "select 'row_missing' \"constraint\", cast(position as varchar) record_key from j where not has_r union all select 'audit_missing', cast(position as varchar) from j where not has_a union all select 'doi_differs', cast(position as varchar) from j where has_a and has_r and adoi <> rdoi "
+    "union all select 'family_differs', cast(position as varchar) from j where has_a and has_r and adoi <> '' and family_key <> 'doi:' || regexp_replace(lower(trim(adoi)), '(?:[._-]v|/v|[._-]version)([0-9]+)$', '') union all select 'field_without_source', cast(position as varchar) from j where has_a and has_r and bare"
+)
+def audit_by_position(s: SparkSession, d: str) -> DataFrame:
+    """The audit in the order of families beside the titled rows in the order of DOIs: where the two go apart it is told."""
+    rows = _papers(s, d)
+    audit = sampling.numbered(rows, ["family_key"], "position")
+    audit = audit.withColumn("provenance", F.create_map(*[x for f in ("title", "authors", "year") for x in (F.lit(f), F.col(f"{f}_from"))]))
+    lines = sampling.numbered(rows.where("title is not null"), ["doi", "family_key"], "position")
+    return validate.audit_against_rows(audit, lines).select("constraint", F.col("record_key").cast("string").alias("record_key"))
+
+
+@query(f"with {ANSWERS}, {_MERGED}, s as (select unnest(sources) source from merged) select source, count(*) targets from s group by 1")
+def source_histogram(s: SparkSession, d: str) -> DataFrame:
+    return merge.merge_answers(_contributing(s, d)).select(F.explode("sources").alias("source")).groupBy("source").agg(F.count("*").alias("targets"))
+
+
+@query(f"with {ANSWERS}, {_MERGED} select coalesce(\"year\", '') \"year\", count(*) targets, count(*) filter (title is not null or authors is not null or \"year\" is not null) found from merged group by 1")
+def year_histogram(s: SparkSession, d: str) -> DataFrame:
+    m = merge.found(merge.merge_answers(_contributing(s, d)))
+    return m.groupBy(F.coalesce("year", F.lit("")).alias("year")).agg(F.count("*").alias("targets"), F.count_if("found").alias("found"))
+
+
+@query(f"with {ANSWERS}, {_MERGED} select m.target_value, m.\"year\", array_to_string(list_sort(list(distinct r.provider)), ' ') sources from merged m join ranked r on r.target_value = m.target_value and r.\"year\" = m.\"year\" group by 1, 2")
+def year_provenance(s: SparkSession, d: str) -> DataFrame:
+    """The providers that say the year that was chosen."""
+    chosen = merge.merge_answers(_contributing(s, d)).where("year is not null").select("target_value", "year")
+    said = _answers(s, d).select("target_value", "year", "provider").where("year is not null")
+    return chosen.join(said, ["target_value", "year"]).groupBy("target_value", "year").agg(F.array_join(F.array_sort(F.collect_set("provider")), " ").alias("sources"))
+
+
+@query(f"with {ORDERED}, t as (select *, case when resolved = 0 then 'not_resolved' when n > 3 then 'many_versions' end reason from placed), k as (select *, row_number() over (partition by reason order by place) i from t where reason is not null) select reason, family_key from k where i <= 5")
+def rejection_examples(s: SparkSession, d: str) -> DataFrame:
+    """The first five of each reason, a report."""
+    rows = _families(s, d).withColumn("reason", F.when(F.col("resolved") == 0, "not_resolved").when(F.col("n") > 3, "many_versions"))
+    return sampling.examples(rows, "reason", "family_key", 5)
+
+
+@query(f"with {PLACED}, t as (select review_id, list_sort(list(distinct event_id)) a from thread group by 1), e as (select review_id, list_sort(list(distinct event_id)) b from (select review_id, event_id from events) group by 1) select e.review_id, t.a is not distinct from e.b complete from e left join t using (review_id)")
+def timeline_sets(s: SparkSession, d: str) -> DataFrame:
+    """Whether the timeline has exactly the events of each review: equal sums of hashes and equal counts, not lists."""
+    marks = lambda df, n: df.select("review_id", "event_id").distinct().groupBy("review_id").agg(F.count("*").alias(f"{n}_n"), F.sum(F.xxhash64("event_id").cast("decimal(38,0)")).alias(f"{n}_h"))
+    placed = threads.thread_events(table(s, d, "reviews"), table(s, d, "author_responses"), table(s, d, "discussion_comments"))
+    both = marks(_events(s, d), "e").join(marks(placed, "t"), "review_id", "left")
+    return both.select("review_id", (F.col("e_n").eqNullSafe(F.col("t_n")) & F.col("e_h").eqNullSafe(F.col("t_h"))).alias("complete"))
+
+
+@query(f"with {REVIEWS}, {INTERACTIONS}, {MARKED}, d as (select i.event_id, i.event_date, m.kept, m.review_date, m.review_id, {BODY.format('i.content')} body_hash, array_to_string(list_sort(list_distinct(list_filter(list_transform(coalesce(i.creators, []), lambda n: array_to_string(list_sort(regexp_extract_all(lower(coalesce(n, '')), '[a-z0-9]+')), ' ')), lambda k: k <> ''))), '|') people from inter i join marked m on i.target_review_id = m.review_id where i.kind = 'discussion'), g as (select kept, body_hash, people, arg_min(event_id, struct_pack(a := review_date, b := review_id, c := event_date, d := event_id)) survivor from d group by all) select 'review' record_type, review_id removed_id, kept kept_id from marked where review_id <> kept union all select 'discussion', d.event_id, g.survivor from d join g using (kept, body_hash, people) where d.event_id <> g.survivor")
+def dedup_log(s: SparkSession, d: str) -> DataFrame:
+    """Every removed duplicate with what was kept for it, reviews and discussion comments."""
+    flat = _flat(s, d)
+    marked = dedup.mark_duplicates(flat, ["family_key", "value"], "review_id", ["review_date"], "comment")
+    reviews = flat.select("review_id", "review_date").join(marked.select("review_id", "kept"), "review_id")
+    rows = _interactions(s, d).where("kind = 'discussion'").join(reviews, F.col("target_review_id") == F.col("review_id"))
+    rows = rows.select("kept", dedup.participants("creators").alias("people"), "event_id", "review_date", "review_id", "event_date", "content")
+    comments = dedup.mark_duplicates(rows, ["kept", "people"], "event_id", ["review_date", "review_id", "event_date"], "content", "survivor")
+    return dedup.log(marked, "review", "review_id", "kept").unionByName(dedup.log(comments, "discussion", "event_id", "survivor"))
+
+
+@query("select distinct doi, replace(doi, '/', '%2F') encoded, " + " or ".join(f"starts_with(doi, '{p}')" for p in SWAP[0]) + " second_first from targets where kind = 'doi'")
+def doi_requests(s: SparkSession, d: str) -> DataFrame:
+    """DOIs as they stand in an address, and which provider is asked first."""
+    rows = table(s, d, "targets").where("kind = 'doi'").select("doi").distinct()
+    return rows.select("doi", C.encoded(F.col("doi")).alias("encoded"), merge.begins_with(F.col("doi"), SWAP[0]).alias("second_first"))
+
+
 # Without an SQL equivalent
 
 
@@ -450,7 +602,7 @@ def clean_titles(s: SparkSession, d: str) -> DataFrame:
 @query()
 def title_warnings(s: SparkSession, d: str) -> DataFrame:
     """Targets whose merged title and representative hint are less alike than 0.58; a warning, never a filter."""
-    titles = merge.merge_answers(merge.contributing(_answers(s, d))).select(F.col("target_value").alias("t"), "title")
+    titles = merge.merge_answers(_contributing(s, d)).select(F.col("target_value").alias("t"), "title")
     rows = table(s, d, "reviews").select(F.col("target.value").alias("target_value"), "title_hint", F.coalesce("review_date", F.lit("")).alias("review_date"), "review_id")
     pairs = rounds.representative(rows, "target_value", "title_hint", ["review_date", "review_id"]).join(titles, F.col("target_value") == F.col("t"))
     scored = X.mapped(pairs.select("target_value", "title", "title_hint"), X.title_similarity, ["title", "title_hint"], "similarity", "double")
@@ -484,7 +636,7 @@ def threads_nested(s: SparkSession, d: str) -> DataFrame:
 def csv_round_trip(s: SparkSession, d: str) -> DataFrame:
     """A table written as CSV and read again."""
     rows = table(s, d, "targets").select("target_value", "kind", "family_key", "version", "doi", "status")
-    path = f"{scratch_dir(s).rstrip('/')}/csv-round-trip-{abs(hash(d))}"
+    path = f"{scratch_dir(s).rstrip('/')}/csv-round-trip-{uuid.uuid4().hex}"
     files.write_csv(rows, path)
     return files.read_csv(s, path, rows.columns).withColumn("version", F.nullif("version", F.lit("")).cast("int"))
 
@@ -492,9 +644,10 @@ def csv_round_trip(s: SparkSession, d: str) -> DataFrame:
 @query("select distinct review_id from reviews")
 def stream_unique_reviews(s: SparkSession, d: str) -> DataFrame:
     stream = streams.stream_of(s, d, "reviews").select("review_id", "harvested_at")
-    return streams.drain(streams.unique_within(stream, "review_id", "harvested_at", "3650 days")).select("review_id")
+    return streams.drain(streams.unique_within(stream, "review_id", "harvested_at", "400 days")).select("review_id")
 
 
-@query("select time_bucket(interval '1 day', ts) window_start, event_type, count(*) n from events group by 1, 2")
+@query("select time_bucket(interval '1 day', ts) window_start, event_type, count(*) n from events where time_bucket(interval '1 day', ts) + interval '1 day' <= (select max(ts) - interval '1 hour' from events) group by 1, 2")
 def stream_event_counts(s: SparkSession, d: str) -> DataFrame:
-    return streams.drain(streams.counts_by_window(streams.stream_of(s, d, "events"), "ts", "event_type", "1 day", "1 hour"), "complete")
+    """Windows that ended an hour or more before the latest event: those of which no more can come."""
+    return streams.drain(streams.counts_by_window(streams.stream_of(s, d, "events"), "ts", "event_type", "1 day", "1 hour"))
