@@ -22,6 +22,13 @@ def repeated_records(rows: DataFrame, key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n")).agg(F.sum("n").alias("records"), F.count("*").alias("unique_records"), F.sum(F.col("n") - 1).alias("repeated_records"))
 
 
+def survivors(rows: DataFrame, scope: list[str], key: str, order: list[str], text: str) -> DataFrame:
+    """scope columns, body_hash, key, copies: the first of each set of exact duplicates in the scope, ties going to the lower
+    key. One aggregate with partial results: texts are hashed where they are read and never move."""
+    hashed = rows.select(*scope, key, *order, body_hash(F.col(text)).alias("body_hash"))
+    return hashed.groupBy(*scope, "body_hash").agg(F.min_by(key, F.struct(*order, key)).alias(key), F.count("*").alias("copies"))
+
+
 def mark_duplicates(rows: DataFrame, scope: list[str | Column], key: str, order: list[str], text: str, survivor: str = "kept") -> DataFrame:
     """scope columns, body_hash, key, survivor, copies: for every row the survivor of its exact duplicates in the scope.
 

@@ -105,8 +105,8 @@ def _families(s: SparkSession, d: str) -> DataFrame:
 
 @query(f"with {REVIEWS}, {MARKED} select family_key, value target_value, body_hash, kept review_id, copies from marked where review_id = kept")
 def dedup_reviews_keep_first(s: SparkSession, d: str) -> DataFrame:
-    marked = dedup.mark_duplicates(_flat(s, d), ["family_key", "value"], "review_id", ["review_date"], "comment")
-    return marked.where("review_id = kept").select("family_key", F.col("value").alias("target_value"), "body_hash", "review_id", "copies")
+    kept = dedup.survivors(_flat(s, d), ["family_key", "value"], "review_id", ["review_date"], "comment")
+    return kept.select("family_key", F.col("value").alias("target_value"), "body_hash", "review_id", "copies")
 
 
 @query(f"with {REVIEWS}, {MARKED} select review_id removed_id, kept kept_id, body_hash from marked where review_id <> kept")
