@@ -37,6 +37,11 @@ def unique(values: Column) -> Column:
     return F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))
 
 
+def _first_orcid(values: Column) -> Column:
+    """The first ORCID among identifiers of any kind, '' if there is none."""
+    return F.coalesce(F.get(F.filter(F.transform(values, orcid), lambda v: v != ""), F.lit(0)), F.lit(""))
+
+
 def record_keys(records: DataFrame, prefix: str) -> DataFrame:
     """records with review_id: the first valid DOI of a record, else one made of prefix and a numeric id, else record: and the id."""
     made = F.when(F.col("record_id").rlike("^[0-9]+$"), F.concat(F.lit(prefix), "record_id")).otherwise(F.concat(F.lit("record:"), "record_id"))
@@ -49,7 +54,7 @@ def people(records: DataFrame) -> DataFrame:
     creators, subjects = items("$.metadata.creators"), items("$.metadata.subjects")
     return (
         records.withColumn("creators", unique(F.transform(creators, lambda x: first_of(text("$.name", x), text("$", x)))))
-        .withColumn("creator_orcids", unique(F.transform(creators, lambda x: first_of(orcid(text("$.orcid", x)), orcid(text("$.nameIdentifiers[0].nameIdentifier", x))))))
+        .withColumn("creator_orcids", unique(F.transform(creators, lambda x: first_of(orcid(text("$.orcid", x)), _first_orcid(F.transform(F.coalesce(F.try_variant_get(x, "$.nameIdentifiers", "array<variant>"), F.array().cast("array<variant>")), lambda n: text("$.nameIdentifier", n)))))))
         .withColumn("subjects", unique(F.transform(subjects, lambda x: first_of(text("$.term", x), text("$", x)))))
         .withColumn("record_date", F.substring(first_of(text("$.metadata.publication_date"), text("$.created")), 1, 10))
     )

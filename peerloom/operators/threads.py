@@ -75,3 +75,12 @@ def threads(reviews: DataFrame, responses: DataFrame, comments: DataFrame) -> Da
     listed = lambda kind: F.array_sort(F.collect_list(F.when(F.col("kind") == kind, item)))
     line = F.transform(F.array_sort(F.collect_list(F.struct("position", "event_date", "event_id", "kind", "review_id"))), lambda e: e.dropFields("position"))
     return rows.groupBy("family_key", "value", "version", "round", "part").agg(listed("review").alias("comments"), listed("response").alias("responses"), listed("discussion").alias("discussions"), line.alias("timeline"))
+
+
+def shaped(rows: DataFrame, extended: bool = False) -> DataFrame:
+    """family_key, round_json: the nested rounds as they are written out, a line for each part of a round; the extended
+    shape also names the version each round is about and its part."""
+    parts = [F.col("round").alias("Round"), F.col("comments").alias("Comments"), F.col("responses").alias("Response"), F.col("discussions").alias("Discussion"), F.col("timeline").alias("Timeline")]
+    if extended:
+        parts += [F.col("value").alias("Target_DOI"), F.col("part").alias("Part")]
+    return rows.select("family_key", "round", "part", F.to_json(F.struct(*parts)).alias("round_json"))

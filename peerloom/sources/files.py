@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from ..storage import delete, publish_text, read_text
+from ..storage import delete, exists, publish_text, read_text
 
 SCHEMA_VERSION = 1
 
@@ -70,8 +70,10 @@ def scan_report(pages: DataFrame) -> DataFrame:
     return n.select("records", "unique_records", (F.col("records") - F.col("unique_records")).alias("dropped"), "total", F.coalesce(F.col("unique_records") >= F.col("total"), F.lit(False)).alias("complete"))
 
 
-def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON artifact; corrupt parts become _corrupt_record rows rather than failures."""
+def read_json(spark: SparkSession, path: str) -> DataFrame | None:
+    """A JSON artifact, null where there is none; corrupt parts become _corrupt_record rows rather than failures."""
+    if not exists(spark, path):
+        return None
     return spark.read.option("multiLine", True).option("mode", "PERMISSIVE").json(path)
 
 
@@ -81,15 +83,25 @@ def entries_of_feed(feeds: DataFrame, xml: str) -> DataFrame:
     return feeds.withColumn("title", F.xpath_string(x, F.lit("//entry/title"))).withColumn("authors", F.xpath(x, F.lit("//entry/author/name/text()"))).withColumn("published", F.xpath_string(x, F.lit("//entry/published")))
 
 
-def write_json(value: object, path: str) -> None:
-    """A small report, written beside its place and moved into it."""
+def write_bytes(value: bytes, path: str) -> None:
+    """A small file of the driver, written beside its place and moved into it."""
     target = Path(path)
     target.parent.mkdir(parents=True, exist_ok=True)
     part = target.with_name(f"{target.name}.{uuid.uuid4().hex}.part")
-    part.write_text(json.dumps(value, ensure_ascii=False, indent=2), encoding="utf-8")
+    part.write_bytes(value)
     os.replace(part, target)
 
 
+def write_json(value: object, path: str) -> None:
+    """A small report of the driver."""
+    write_bytes(json.dumps(value, ensure_ascii=False, indent=2).encode("utf-8"), path)
+
+
+def word_list(spark: SparkSession, path: str) -> frozenset[str]:
+    """The words of a list, one a line, in lower case, for unwrap; empty where there is no list."""
+    return frozenset(w for line in (read_text(spark, path) or "").splitlines() if (w := line.strip().lower()).isalpha())
+
+
 def write_table(df: DataFrame, path: str, stage: str, complete: bool = True, made_from: str = "") -> None:
     """A stage's table with a manifest that says which stage and schema it is of and where its data lie.
 

@@ -1,6 +1,7 @@
 """The output, its constraints, its stages, and orders that hot groups must not slow down."""
 
 import json
+import os
 import random
 
 import pytest
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 
 from peerloom.functions import columns as C
 from peerloom.functions import texts as X
-from peerloom.operators import merge, papers, rounds, sampling, threads, validate
-from peerloom.plans import stages
+from peerloom.operators import dedup, merge, papers, rounds, sampling, threads, validate
+from peerloom.plans import pipeline, stages
 
 EVENT = "family_key string, value string, kind string, event_id string, review_id string, position int"
 
@@ -160,3 +161,31 @@ def test_a_partial_stage_is_refused_unless_the_settings_allow_it(spark, tmp_path
     with pytest.raises(ValueError):
         stages.run_stage(spark, where["metadata"], "metadata", stages.Settings(), {"reviews": where["reviews"]}, build)
     assert stages.run_stage(spark, where["metadata"], "metadata", stages.Settings(allow_partial=True), {"reviews": where["reviews"]}, build).count() == 2
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.001"), reason="no tables here")
+def test_the_whole_run(spark, tmp_path):
+    tables, out = "/root/testdata/sf0.001", str(tmp_path / "out")
+    clean = pipeline.run(spark, tables, out)
+    report = json.loads((tmp_path / "out/report.json").read_text())
+    assert report["passed"] is clean is (report["issues"] == {})
+    written = sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir())
+    assert written == ["01_reviews", "02_metadata", "03_papers", "04_issues"]
+    before = (tmp_path / "out/03_papers/manifest.json").read_text()
+    assert pipeline.main([tables, out]) == int(not clean) and (tmp_path / "out/03_papers/manifest.json").read_text() == before
+
+
+def test_shapes_of_rounds(spark):
+    one = "array<struct<event_date:string,event_id:string>>"
+    rows = spark.createDataFrame([("f", "v", 1, 2, 1, [("2024-01-01", "r1")], [], [], [("2024-01-01", "r1")])], f"family_key string, value string, version int, round int, part int, comments {one}, responses {one}, discussions {one}, timeline {one}")
+    strict, extended = (json.loads(threads.shaped(rows, e).first().round_json) for e in (False, True))
+    assert set(strict) == {"Round", "Comments", "Response", "Discussion", "Timeline"} and set(extended) - set(strict) == {"Target_DOI", "Part"}
+    assert strict["Round"] == 2 and strict["Comments"][0]["event_id"] == "r1"
+
+
+def test_survivors_are_those_that_are_marked(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice(["f", None]), f"id{i}", str(rng.randrange(3)), rng.choice(["A b", "a  B", "c", None])) for i in range(60)]
+    df = spark.createDataFrame(rows, "fam string, id string, day string, text string")
+    marked = dedup.mark_duplicates(df, ["fam"], "id", ["day"], "text").where("id = kept").select("fam", "body_hash", "id", "copies")
+    assert {tuple(r) for r in dedup.survivors(df, ["fam"], "id", ["day"], "text").select("fam", "body_hash", "id", "copies").collect()} == {tuple(r) for r in marked.collect()}

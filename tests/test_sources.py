@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from peerloom.sources import cache, files
+from peerloom.sources import cache, files, registries
 from peerloom.sources.http import Fetcher
 from peerloom.streaming import streams
 
@@ -104,7 +104,7 @@ def test_streams(spark, tmp_path):
 def test_late_rows_are_dropped_and_state_forgotten(spark, tmp_path):
     """One file a batch: what comes behind the watermark is left out, and a key that was forgotten counts as new."""
     folder = str(tmp_path / "in")
-    for i, rows in enumerate([[("a", 1), ("b", 1)], [("c", 10)], [("late", 2), ("d", 10)], [("a", 11)]]):
+    for i, rows in enumerate([[("a", 1), ("b", 1)], [("c", 10)], [("e", 10)], [("late", 2), ("d", 10)], [("a", 11)]]):
         df = spark.createDataFrame(rows, "k string, day int").selectExpr("k", "make_timestamp(2024, 1, day, 0, 0, 0) as at")
         df.coalesce(1).write.mode("append").parquet(f"{folder}/part={i}")
     paths = spark.readStream.schema("k string, at timestamp").option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(f"{folder}/*")
@@ -142,3 +142,18 @@ def test_second_enrichment_adds_only_new_targets(spark, tmp_path):
         streams.enrich_new(stream, out, resolve, str(tmp_path / state)).awaitTermination()
         spark.createDataFrame([("c",), ("a",)], "target_value string").write.mode("append").parquet(folder)
     assert sorted(r.target_value for r in spark.read.parquet(out).collect()) == ["a", "b", "c"] and seen == [2, 1]
+
+
+def test_lookups_in_registries(spark):
+    def opener(url):
+        return (200, {}, url.encode()) if "gone" not in url else (404, {}, b"")
+
+    fetch = registries.asker(opener, {"works": "https://a.example/works/{key}"}, delay=0)
+    got = cache.fetch_missing(spark.createDataFrame([("works", "10.1/a b"), ("works", "gone"), ("other", "x")], "namespace string, key string"), spark.createDataFrame([], cache.SCHEMA), fetch, 1)
+    assert {(r.key, r.status, r.payload) for r in got.collect()} == {("10.1/a b", "found", "https://a.example/works/10.1%2Fa%20b"), ("gone", "not_found", None), ("x", "error", None)}
+
+
+def test_small_files(spark, tmp_path):
+    files.write_bytes(b"The\nsoil \n\n3x\n", str(tmp_path / "a/words.txt"))
+    assert files.word_list(spark, str(tmp_path / "a/words.txt")) == {"the", "soil"} and files.word_list(spark, str(tmp_path / "none")) == frozenset()
+    assert files.read_json(spark, str(tmp_path / "none.json")) is None
