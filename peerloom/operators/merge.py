@@ -57,6 +57,17 @@ def has_venue(by_prefix: list[tuple[str, str]], names: list[str]) -> Column:
     return (first_match(F.col("target_value"), by_prefix, "startswith") != "") | listed
 
 
+def venue(by_prefix: list[tuple[str, str]], names: list[tuple[str, str]]) -> Column:
+    """The venue the target's identifier tells, else the label of the first listed name (lower case) that any candidate holds; '' if none."""
+    return F.coalesce(F.nullif(first_match(F.col("target_value"), by_prefix, "startswith"), F.lit("")), first_match(F.lower(F.array_join("venue_candidates", "\n")), names))
+
+
+def venue_of_family(versions: DataFrame, venues: DataFrame) -> DataFrame:
+    """family_key, venue: that of the latest version, else of the most recent one that has any. venues: target_value, venue."""
+    rows = versions.join(venues.where("venue != ''"), F.col("value") == F.col("target_value"))
+    return rows.groupBy("family_key").agg(F.max_by("venue", F.struct(F.col("version").isNotNull(), F.coalesce("version", F.lit(0)), "value")).alias("venue"))
+
+
 def contributing(answers: DataFrame, venue: Column) -> DataFrame:
     """Answers up to the one that completes title, authors, year and venue of its target; later ones add nothing.
 

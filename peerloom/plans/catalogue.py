@@ -343,9 +343,12 @@ def sample_hash(s: SparkSession, d: str) -> DataFrame:
     return sampling.first_accepted(_families(s, d), F.col("resolved") == 1, 25).select("family_key", "place")
 
 
-@query(f"with {ORDERED} select family_key, case when n > 1 then 0 else 1 end tier, place from placed where resolved = 1 order by tier, place limit 25")
+@query(f"with {ORDERED}, talked as (select family_key from author_responses union select family_key from discussion_comments) select family_key, case when family_key in (select family_key from talked where family_key is not null) then 0 when n > 1 then 1 else 2 end tier, place from placed where resolved = 1 order by tier, place limit 25")
 def sample_coverage(s: SparkSession, d: str) -> DataFrame:
-    rows = _families(s, d).withColumn("tier", F.when(F.col("n") > 1, 0).otherwise(1))
+    """Families with replies first, then those of several versions, then the rest."""
+    talked = table(s, d, "author_responses").select("family_key").unionByName(table(s, d, "discussion_comments").select("family_key")).where("family_key is not null").distinct()
+    rows = _families(s, d).join(talked.withColumn("talked", F.lit(True)), "family_key", "left")
+    rows = rows.withColumn("tier", F.when(F.col("talked"), 0).when(F.col("n") > 1, 1).otherwise(2))
     return sampling.first_accepted(rows, F.col("resolved") == 1, 25).select("family_key", "tier", "place")
 
 
@@ -531,6 +534,17 @@ def audit_by_position(s: SparkSession, d: str) -> DataFrame:
     return validate.audit_against_rows(audit, lines).select("constraint", F.col("record_key").cast("string").alias("record_key"))
 
 
+@query(
+    f"with {ANSWERS}, {VERSIONS}, hits as (select u.target_value, arg_min(v.venue_name, v.venue_id) venue from (select x.target_value, unnest(o.r.venue_candidates) c from used x join one o on o.target_value = x.target_value and o.provider_record_id = x.provider_record_id) u join venues v on contains(lower(trim(u.c, ' ')), lower(v.venue_name)) group by 1), "
+    f"named as (select o.target_value, coalesce(nullif({_BY_PREFIX}, ''), h.venue, '') venue from (select distinct target_value from used) o left join hits h on h.target_value = o.target_value) "
+    "select family_key, arg_max(venue, struct_pack(a := version is not null, b := coalesce(version, 0), c := value)) venue from versions join named on value = target_value where venue <> '' group by 1"
+)
+def venue_choice(s: SparkSession, d: str) -> DataFrame:
+    names = [(r[0].lower(), r[0]) for r in table(s, d, "venues").orderBy("venue_id").select("venue_name").collect()]
+    merged = merge.merge_answers(_contributing(s, d)).select("target_value", merge.venue(VENUE_PREFIXES, names).alias("venue"))
+    return merge.venue_of_family(_versions(s, d), merged)
+
+
 @query(f"with {ANSWERS}, {_MERGED}, s as (select unnest(sources) source from merged) select source, count(*) targets from s group by 1")
 def source_histogram(s: SparkSession, d: str) -> DataFrame:
     return merge.merge_answers(_contributing(s, d)).select(F.explode("sources").alias("source")).groupBy("source").agg(F.count("*").alias("targets"))
