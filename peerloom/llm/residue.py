@@ -1,8 +1,10 @@
 """Problem 1: template residue and error-page text.
 
-Method: lines are normalised and counted by host; lines that recur in many records of their host and carry no
-evidence are the form's boilerplate and are taken away. A record is excluded when a line of what is left holds an
-unfilled slot, filler, a failed page or a demand to switch scripts on. Text that talks about such things, quotes them
+Method: lines are normalised and counted by host. Lines that stand in a large share of their host's records are the
+form's boilerplate and are subtracted; a record is excluded when its residual holds an unfilled slot, filler, a failed
+page or a demand to switch scripts on, or when nothing but subtracted evidence was there. The counts also tell machine
+text whose wording is not listed: people don't type the same notice again and again, so a line that recurs on its host
+and speaks of a machine's parts and states is a notice of a failed page. Text that talks about such things, quotes them
 or uses brackets in the ordinary way is left alone.
 """
 
@@ -16,23 +18,23 @@ from pyspark.sql import functions as F
 
 from ..storage import materialise
 
-#: A line is boilerplate if it stands in at least this share of its host's records, and in so many of them.
-BOILERPLATE_SHARE, BOILERPLATE_LEAST = 0.002, 20
-#: Beyond so many boilerplate lines (16 bytes each) they are joined by a shuffle.
+#: A line is the form's own from this share of its host's records on; it recurs from that share on; both in so many records.
+FORM_SHARE, RECURRENT_SHARE, RECURRENT_LEAST = 0.05, 0.0005, 20
+#: Beyond so many recurrent lines (17 bytes each) they are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 # How unfilled slots are written.
 SLOTS = [
-    r"\{\{[^{}\n]{1,80}\}\}",
-    r"\$\{[^{}\n]{1,80}\}",
-    r"(?<![\w}\\])\{\p{L}[\p{L}\d]*[\p{L}\d._]{1,60}\}",
-    r"<%[^%\n]{1,80}%>",
-    r"<<[\p{L}_][\w. ]{0,60}>>",
-    r"(?<![\w%])%[\p{L}][\p{L}_.]{1,60}%(?!\w)",
-    r"(?<!\w)__\p{L}[\w.]{0,60}?__(?!\w)",
-    r"@@\p{L}[\w.]{0,60}@@",
-    r"(?<![\w#])#\p{Lu}[\p{Lu}_.]{1,60}#",
-    r"\[(?:(?:[Ii]nsert|INSERT|[Aa]dd|ADD|[Ee]nter|ENTER|[Ss]elect|SELECT|[Cc]hoose|[Tt]ype|[Ww]rite|[Ff]ill in|[Yy]our|YOUR|[Nn]ame of|NAME OF|[Tt]itle of|[Ee]scrib[ae]|ESCRIBA|[Ii]nsert[ae]r?|[Ii]nsira|[Tt]ítulo d[eo]|TÍTULO D[EO]|[Nn]ombre d[ee]l?|[Nn]ome d[oae]|[Nn]om d[eu']|[Tt]itre d[eu']) ?[^\[\]\n]{0,60}|[àÀ] (?:compléter|COMPLÉTER|remplir)|(?:a|por) (?:completar|preencher))\]",
+    r"\{\{[^{}\n]+\}\}",
+    r"\$\{[^{}\n]+\}",
+    r"(?<![\w}\\])\{\p{L}[\p{L}\d._]+\}",
+    r"<%[^%\n]+%>",
+    r"<<[\p{L}_][\w. ]*>>",
+    r"(?<![\w%])%[\p{L}][\p{L}_.]+%(?!\w)",
+    r"(?<!\w)__\p{L}[\w.]*?__(?!\w)",
+    r"@@\p{L}[\w.]*@@",
+    r"(?<![\w#])#\p{Lu}[\p{Lu}_.]+#",
+    r"\[(?:(?:[Ii]nsert|INSERT|[Aa]dd|ADD|[Ee]nter|ENTER|[Ss]elect|SELECT|[Cc]hoose|[Tt]ype|[Ww]rite|[Ff]ill in|[Yy]our|YOUR|[Nn]ame of|NAME OF|[Tt]itle of|[Ee]scrib[ae]|ESCRIBA|[Ii]nsert[ae]r?|[Ii]nsira|[Tt]ítulo d[eo]|TÍTULO D[EO]|[Nn]ombre d[ee]l?|[Nn]ome d[oae]|[Nn]om d[eu']|[Tt]itre d[eu']) ?(?:[^\[\]\s]+\s*){0,9}|[àÀ] (?:compléter|COMPLÉTER|remplir)|(?:a|por) (?:completar|preencher))\]",
     r"(?<!\w)X{4,}(?!\w)",
     r"(?<!\w)TBD(?!\w)",
 ]
@@ -93,6 +95,14 @@ LATIN = (
     "esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat non proident sunt culpa qui officia deserunt mollit anim id est laborum"
 ).split()
 LATIN_RUN = 4
+# Parts of a machine, states of it, and what it asks for. A recurrent line with two of the three is a notice.
+MACHINE = [
+    ["page", "página", "seite", "website", "server", "servidor", "serveur", "browser", "navegador", "navigateur", "script", "cookie", "application", "connection", "conexión", "conexão", "connexion", "request", "session", "captcha", "plugin", "widget", "database"],
+    ["error", "erro ", "erreur", "fehler", "failed", "failure", "unable", "unavailable", "not available", "no disponible", "indisponível", "indisponible", "cannot", "could not", "couldn't", "denied", "disabled", "blocked", "not found", "expired", "timed out", "overloaded", "loading", "maintenance"],
+    ["reload", "refresh", "try again", "retry", "enable", "sign in", "log in", "logged in", "administrator", "please wait", "come back later", "inténtelo", "tente novamente", "réessayer"],
+]
+# Blanks beside those that a pattern calls blank.
+BLANKS = "\u00a0\u2009\u202f\u3000"
 
 
 def as_text(c: Column) -> Column:
@@ -104,43 +114,57 @@ def as_text(c: Column) -> Column:
 
 
 def normal_line(c: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(F.lower(c), "\u00a0\u2009\u202f\u3000", "    "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.translate(F.lower(c), BLANKS, " " * len(BLANKS)), r"\s+", " "))
 
 
 def line_hash(low: Column) -> Column:
     """Equal for lines in lower case that differ in blanks only."""
-    return F.xxhash64(F.translate(low, " \t\u00a0\u2009\u202f\u3000", ""))
+    return F.xxhash64(F.translate(low, " \t" + BLANKS, ""))
 
 
 def _unquoted(c: Column) -> Column:
-    return F.regexp_replace(c, "\"[^\"\n]{1,200}\"|“[^”\n]{1,200}”|«[^»\n]{1,200}»|„[^“\n]{1,200}“|‘[^’\n]{1,200}’", " ")
+    return F.regexp_replace(c, "(?<!\\w)\"[^\"\n]+\"(?!\\w)|“[^”\n]+”|«[^»\n]+»|„[^“\n]+“|(?<!\\w)‘[^’\n]+’", " ")
 
 
 def _any(patterns: list[str]) -> str:
     return "(?:" + "|".join(patterns) + ")"
 
 
+def _whole(patterns: list[str]) -> str:
+    """One of the patterns as a whole line in lower case, whatever marks and blanks stand around it and between its words."""
+    some = rf"[\s{BLANKS}]"
+    inner = _any(patterns).replace("[ ", rf"[\s{BLANKS}").replace(" ?", some + "*").replace(" ", some + "+")
+    return rf"^[\s{BLANKS}\"'*_>#-]*{inner}[\s{BLANKS}\"'*_.!…;:-]*$"
+
+
+def _has(c: Column, parts: list[str]) -> Column:
+    return reduce(or_, [F.contains(c, F.lit(x)) for x in parts])
+
+
 def evidence(line: Column, low: Column) -> Column:
     """slot, filler, failure or script for a line of as_text (low: it in lower case) that holds such residue, else null.
 
     Each group of patterns is behind a plain search for what all of them need.
     """
-    has = lambda c, *parts: reduce(or_, [F.contains(c, F.lit(x)) for x in parts])
     slots = _any(SLOTS)
     named = rf"(?i:\b{MENTION}\b)(?:\s+\p{{L}}+){{0,2}}?\s+[\"“«'‘]?{slots}|{slots}(?:\s+\p{{L}}+){{0,2}}?\s+(?i:{MENTION})\b|[\"“«‘']{slots}[\"”»’']"
     plain = F.regexp_replace(line, named, " ")
     spoken = normal_line(_unquoted(line))
-    bare = F.regexp_replace(normal_line(line), r"^[\s\"'*_>#-]+|[\s\"'*_.!…;:-]+$", "")
-    latin = rf"(?:\b{_trie(LATIN)}\b[\s\u00a0\u2009\u202f\u3000,.;:!?]*){{{LATIN_RUN}}}"
+    latin = rf"(?:\b{_trie(LATIN)}\b[\s{BLANKS},.;:!?]*){{{LATIN_RUN}}}"
     return (
-        F.when(has(line, "{", "<", "%", "__", "@@", "#", "[", "XXXX", "TBD") & line.rlike(slots) & plain.rlike(slots), "slot")
-        .when((F.length(line) < 120) & bare.rlike("^" + _any(FILLER_LINES) + "$") | low.rlike(latin), "filler")
-        .when((F.length(line) < 120) & bare.rlike("^" + _any(FAILED_LINES) + "$"), "failure")
-        .when(has(low, *FAILURE_WORDS) & (spoken.rlike(_any(FAILURES)) | normal_line(line).rlike(_any(FAILED_DATA))), "failure")
-        .when(has(low, "script", "cookie") & has(low, *DEMAND_WORDS) & spoken.rlike(_any(SCRIPTS)), "script")
+        F.when(_has(line, ["{", "<", "%", "__", "@@", "#", "[", "XXXX", "TBD"]) & line.rlike(slots) & plain.rlike(slots), "slot")
+        .when(low.rlike(_whole(FILLER_LINES)) | low.rlike(latin), "filler")
+        .when(low.rlike(_whole(FAILED_LINES)), "failure")
+        .when(_has(low, FAILURE_WORDS) & (spoken.rlike(_any(FAILURES)) | normal_line(line).rlike(_any(FAILED_DATA))), "failure")
+        .when(_has(low, ["script", "cookie"]) & _has(low, DEMAND_WORDS) & spoken.rlike(_any(SCRIPTS)), "script")
     )
 
 
+def notice(low: Column) -> Column:
+    """Whether a line in lower case speaks of two of a machine's parts, its states and what it asks for."""
+    return sum(_has(low, words).cast("int") for words in MACHINE) >= 2
+
+
 def _trie(words: list[str]) -> str:
     """An alternation of the words that shares their beginnings, so that most places fail at one letter."""
     heads: dict[str, list[str]] = {}
@@ -163,32 +187,32 @@ def residue(rows: DataFrame) -> DataFrame:
     """record_kind, record_key, kinds, left_lines for the records of rows to be kept out.
 
     kinds: what residue a record holds, sorted; left_lines: how many of its lines are neither residue nor boilerplate.
-    rows has record_kind, record_key, host and text; other columns are ignored. Blank texts hold no residue, a record
-    given several times counts once (its lines once for each time), and an empty table gives an empty result.
+    A line of its host's form is subtracted whatever it holds; only where no other line is left does the evidence in it
+    count. rows has record_kind, record_key, host and text; other columns are ignored. Blank texts hold no residue, a
+    record given several times counts once (its lines once for each time), and an empty table gives an empty result.
     """
     lines = rows.select("record_kind", "record_key", "host", F.explode(F.split(as_text(F.col("text")), r"[\n\r]+")).alias("line")).where(r"line rlike '\\S'")
     lines = lines.withColumn("low", F.lower("line")).withColumn("hash", line_hash(F.col("low")))
     recurrent, small = recurrent_lines(lines, rows)
-    recurrent = recurrent.withColumn("recurs", F.lit(True))
     lines = lines.join(F.broadcast(recurrent) if small else recurrent, ["host", "hash"], "left")
-    seen = lines.select("record_kind", "record_key", "recurs", evidence(F.col("line"), F.col("low")).alias("kind"))
-    # A recurrent line with evidence is residue that recurs; without evidence it is the form's boilerplate.
+    kind = F.coalesce(evidence(F.col("line"), F.col("low")), F.when(F.col("form").isNotNull() & notice(F.col("low")), "failure"))
+    seen = lines.select("record_kind", "record_key", F.coalesce("form", F.lit(False)).alias("form"), F.col("form").isNotNull().alias("recurs"), kind.alias("kind"))
     held = seen.groupBy("record_kind", "record_key").agg(
-        F.array_sort(F.collect_set("kind")).alias("kinds"), F.count_if(F.col("kind").isNull() & F.col("recurs").isNull()).alias("left_lines")
-    )
+        F.array_sort(F.collect_set(F.when(~F.col("form"), F.col("kind")))).alias("kinds"), F.array_sort(F.collect_set(F.when(F.col("form"), F.col("kind")))).alias("taken"),
+        F.count_if(~F.col("form")).alias("residual"), F.count_if(F.col("kind").isNull() & ~F.col("recurs")).alias("left_lines"),
+    )
+    held = held.select("record_kind", "record_key", F.when(F.col("residual") == 0, F.col("taken")).otherwise(F.col("kinds")).alias("kinds"), "left_lines")
     # Filtered after the grouping: a filter on the evidence itself would be pushed down and worked out again for each use of low.
     return held.where(F.size("kinds") > 0)
 
 
 def recurrent_lines(lines: DataFrame, rows: DataFrame) -> tuple[DataFrame, bool]:
-    """host, hash of the lines that recur, and whether they are few enough to be broadcast.
-
-    A line recurs if it stands in BOILERPLATE_SHARE of the records of its host, and in BOILERPLATE_LEAST.
-    """
+    """host, hash, form of the lines that recur (form: so often that they are the form's own), and whether they are few
+    enough to be broadcast."""
     counts = lines.groupBy("host", "hash").agg(F.count("*").alias("n"))
     totals = rows.groupBy("host").agg(F.count("*").alias("records"))
-    often = counts.where(F.col("n") >= BOILERPLATE_LEAST).join(totals, "host").where(F.col("n") >= BOILERPLATE_SHARE * F.col("records"))
-    often = materialise(often.select("host", "hash"), "recurrent")
+    often = counts.where(F.col("n") >= RECURRENT_LEAST).join(totals, "host").where(F.col("n") >= RECURRENT_SHARE * F.col("records"))
+    often = materialise(often.select("host", "hash", (F.col("n") >= FORM_SHARE * F.col("records")).alias("form")), "recurrent")
     return often, often.count() <= BROADCAST_ROWS
 
 

@@ -87,3 +87,33 @@ def test_recurrent_lines_are_boilerplate_unless_they_are_residue(spark):
 
 def test_empty_tables(spark):
     assert rows_of(residue.found(reviews(spark, []), comments(spark, []))) == []
+
+
+def keys(spark, rows):
+    return {r.record_key for r in residue.residue(residue.records(reviews(spark, rows), comments(spark, []))).collect()}
+
+
+UNLISTED = "The server could not load this document, please retry."
+
+
+def test_the_counts_by_host_tell_notices_of_unlisted_wording(spark, monkeypatch):
+    rows = [(f"n{i}", f"{UNLISTED}", None, []) for i in range(25)] + [("once", "The browser was unable to show the second figure.", None, [])]
+    rows += [(f"a{i}", f"Could you share the code?\nThe aim is clear, see note {i}.", None, []) for i in range(600)]
+    assert keys(spark, rows) == {f"n{i}" for i in range(25)}
+    monkeypatch.setattr(residue, "RECURRENT_LEAST", 10**9)
+    assert keys(spark, rows) == set()
+
+
+def test_lines_of_the_form_are_subtracted_beside_real_text(spark, monkeypatch):
+    """A caption of the form that reads like a slot stands in every third record; where nothing else is left it counts."""
+    rows = [(f"a{i}", f"[Add a comment]\nThe aim is clear, see note {i}.", None, []) for i in range(40)] + [(f"b{i}", f"The design is sound ({i}).", None, []) for i in range(80)]
+    rows += [("empty", "[Add a comment]", None, []), ("both", "[Add a comment]\nDear ${name}, thank you.", None, [])]
+    assert keys(spark, rows) == {"empty", "both"}
+    monkeypatch.setattr(residue, "RECURRENT_LEAST", 10**9)
+    assert len(keys(spark, rows)) == 42
+
+
+def test_long_lines_of_filler_and_long_slots(spark):
+    rows = [("test", "test " * 40, None, []), ("page", "  *** 503   Service Unavailable " + "!" * 200, None, []), ("slot", "Dear {{" + "n" * 300 + "}}, thank you.", None, [])]
+    rows += [("said", 'They print "' + "so it goes on and on, " * 20 + 'please enable JavaScript" in Fig. 2.', None, [])]
+    assert keys(spark, rows) == {"test", "page", "slot"}
