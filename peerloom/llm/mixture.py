@@ -16,21 +16,44 @@ from pyspark.sql import functions as F
 from ..storage import materialise
 from .tokens import VOCABULARY, with_sizes
 
-#: Tokens in a block and in a shard; there are at most SHARDS shards, however many tokens there are.
-BLOCK, SHARD_TOKENS, SHARDS = 2048, 4_000_000, 4096
+#: Tokens in a block and in a shard. A shard is of this size however many tokens there are; their number grows.
+BLOCK, SHARD_TOKENS = 2048, 4_000_000
 SEED = 17
+#: Beyond so many quotas (about 40 bytes each) they are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def sainte_lague(weights: list[float], seats: int) -> list[int]:
     """Seats for each weight by the highest quotients weight / (2 x seats held + 1), ties to the earlier.
 
-    All but the last len(weights) seats come from rounding down the exact shares, which the highest quotients never
-    undercut by more than one each; the rest are given out one by one.
+    A bar is sought above which there are no more quotients than seats, and hardly fewer: all of those get their seats at
+    once, the few seats that are left go one by one to the highest quotients below the bar.
     """
-    total = sum(weights)
-    if total <= 0 or seats <= 0:
+    if seats <= 0 or not any(w > 0 for w in weights):
         return [0] * len(weights)
-    held = [max(0, int(w / total * seats - 1)) if w > 0 else 0 for w in weights]
+
+    def above(bar: float) -> list[int]:
+        """How many quotients of each weight are higher than bar."""
+        out = []
+        for w in weights:
+            h = int(w / bar + 1) // 2 if w > 0 else 0
+            while h and w / (2 * h - 1) <= bar:
+                h -= 1
+            while w / (2 * h + 1) > bar:
+                h += 1
+            out.append(h)
+        return out
+
+    low, high = 0.0, max(weights)  # no quotient is higher than the largest weight
+    for _ in range(100):
+        bar = (low + high) / 2
+        if not low < bar < high:
+            break
+        n = sum(above(bar))
+        low, high = (low, bar) if n <= seats else (bar, high)
+        if 0 <= seats - n <= 8:
+            break
+    held = above(high)
     queue = [(-w / (2 * h + 1), i) for i, (w, h) in enumerate(zip(weights, held, strict=True)) if w > 0]
     heapq.heapify(queue)
     for _ in range(seats - sum(held)):
@@ -43,8 +66,10 @@ def sainte_lague(weights: list[float], seats: int) -> list[int]:
 def _quotas(shards: list, targets: list) -> tuple[list[tuple], list[tuple]]:
     """(source, shard, quota in tokens, max_repeats) and (source, target_share, blocks) from the tokens of the shards."""
     tokens: dict[str, int] = {}
+    by_source: dict[str, list[tuple[int, int]]] = {}
     for r in shards:
         tokens[r["source"]] = tokens.get(r["source"], 0) + r["tokens"]
+        by_source.setdefault(r["source"], []).append((r["shard"], r["tokens"]))
     aims = {r["source"]: (r["target_share"], r["max_repeats"]) for r in targets}
     present = sorted(s for s, (share, repeats) in aims.items() if share > 0 and repeats > 0 and tokens.get(s, 0) > 0)
     whole = sum(aims[s][0] for s in present)
@@ -56,7 +81,7 @@ def _quotas(shards: list, targets: list) -> tuple[list[tuple], list[tuple]]:
     seats = sainte_lague([aims[s][0] for s in present], int(size / block))
     quotas, report = [], []
     for s, n in zip(present, seats, strict=True):
-        mine = sorted((r["shard"], r["tokens"]) for r in shards if r["source"] == s)
+        mine = sorted(by_source[s])
         for (shard, _), q in zip(mine, sainte_lague([float(t) for _, t in mine], n), strict=True):
             quotas.append((s, shard, float(q * block), aims[s][1]))
         report.append((s, float(aims[s][0]), n))
@@ -69,7 +94,7 @@ def select(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULAR
     The mixture is as large as the targets allow. Sources without target, without tokens or with a share of 0 are left
     out, and the shares of the others keep their proportions; null ids, sources and texts and texts without tokens
     give no row, and an id given twice counts once. The targets are a fixed table and are read to the driver, and so
-    are the sizes of the shards (at most SHARDS and one more for each source).
+    are the sizes of the shards, a number for each SHARD_TOKENS tokens.
     """
     spark = documents.sparkSession
     texts = documents.where("doc_id is not null and source is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")
@@ -77,12 +102,12 @@ def select(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULAR
     # One row of an id given twice: the least, found without moving the text.
     sized = materialise(sized.groupBy("doc_id").agg(F.min(F.struct("source", "n_tokens")).alias("r")).select("doc_id", "r.source", "r.n_tokens").where("n_tokens > 0"), "sizes")
     totals = {r["source"]: r["tokens"] for r in sized.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).collect()}
-    per_shard = max(SHARD_TOKENS, sum(totals.values()) / SHARDS)
-    counts = spark.createDataFrame([(s, max(1, round(t / per_shard))) for s, t in totals.items()], "source string, shards int")
+    counts = spark.createDataFrame([(s, max(1, round(t / SHARD_TOKENS))) for s, t in totals.items()], "source string, shards int")
     sharded = sized.join(F.broadcast(counts), "source").withColumn("shard", F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.col("shards")).cast("int"))
     shards = sharded.groupBy("source", "shard").agg(F.sum("n_tokens").alias("tokens"))
     quotas, _ = _quotas(shards.collect(), targets.where("source is not null").collect())
-    quota = F.broadcast(spark.createDataFrame(quotas, "source string, shard int, quota double, max_repeats int"))
+    quota = spark.createDataFrame(quotas, "source string, shard int, quota double, max_repeats int")
+    quota = F.broadcast(quota) if len(quotas) <= BROADCAST_ROWS else quota.hint("merge")
     order = Window.partitionBy("source", "shard").orderBy(F.xxhash64(F.lit(SEED + 1), "doc_id"), "doc_id")
     within = sharded.join(quota, ["source", "shard"]).withColumn("end", F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     every = Window.partitionBy("source", "shard")
@@ -98,6 +123,17 @@ def select(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULAR
     return within.where("copies > 0").select("source", "doc_id", "n_tokens", "copies")
 
 
+def breaches(documents: DataFrame, selection: DataFrame, targets: DataFrame) -> DataFrame:
+    """source, unknown, too_often, twice: of each source's chosen documents, how many are not among its documents, are used
+    more often than max_repeats allows or not at all, and stand in more than one row. All are to be 0."""
+    rows = selection.groupBy("source", "doc_id").agg(F.count("*").alias("n"), F.max("copies").alias("copies"))
+    known = documents.select("source", F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("known", F.lit(True))
+    rows = rows.join(known, ["source", "doc_id"], "left").join(F.broadcast(targets.select("source", "max_repeats")), "source", "left")
+    often = F.coalesce((F.col("copies") > F.col("max_repeats")) | (F.col("copies") < 1), F.lit(True))
+    got = rows.groupBy("source").agg(F.count_if(F.col("known").isNull()).alias("unknown"), F.count_if(often).alias("too_often"), F.count_if(F.col("n") > 1).alias("twice"))
+    return targets.select("source").join(got, "source", "left").fillna(0)
+
+
 def shares(selection: DataFrame, targets: DataFrame) -> DataFrame:
     """source, target_share, documents, tokens, actual_share, most_copies: what the selection reaches, every target listed."""
     got = selection.groupBy("source").agg(F.count("*").alias("documents"), F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.max("copies").alias("most_copies"))

@@ -29,6 +29,24 @@ def test_seats_go_to_the_highest_quotients(weights, seats):
     assert sorted(want) == sorted(got) or any(abs(a - b) <= 1 for a, b in zip(want, got, strict=True))
 
 
+def by_hand(weights, seats):
+    held = [0] * len(weights)
+    for _ in range(seats):
+        i = max(range(len(weights)), key=lambda k: (weights[k] / (2 * held[k] + 1), -k))
+        held[i] += 1
+    return held
+
+
+def test_seats_are_those_of_the_plain_rule_for_any_weights():
+    rng = random.Random(8)
+    sets = [([1000.0] + [1.0] * 300, 1180), ([5000.0] + [3.0] * 120 + [1.0] * 180, 1500), ([1.0] * 7, 3), ([0.0, 2.0], 5), ([1e-9, 1.0], 40), ([float("1e300"), 1.0], 9)]
+    for _ in range(150):
+        n = rng.randrange(1, 60)
+        sets.append(([rng.choice([rng.random(), float(rng.randrange(1, 9)), 1000 * rng.random()]) for _ in range(n)], rng.randrange(0, 400)))
+    for weights, seats in sets:
+        assert mixture.sainte_lague(weights, seats) == by_hand(weights, seats), (weights, seats)
+
+
 def mixed(spark, rows, targets):
     df = documents(spark, rows).withColumn("copies", F.lit("clash")).withColumn("shard", F.lit("clash"))
     t = spark.createDataFrame(targets, TARGETS)
@@ -43,6 +61,8 @@ def test_shares_and_repeats(spark):
     picked, shares = mixed(spark, rows, [("a", 0.5, 1), ("b", 0.5, 3), ("absent", 0.2, 9)])
     assert abs(shares["a"].actual_share - 0.5) < 0.003 and abs(shares["b"].actual_share - 0.5) < 0.003
     assert shares["absent"].tokens == 0
+    broken = mixture.breaches(documents(spark, rows), mixture.select(documents(spark, rows), spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 3)], TARGETS)), spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 3)], TARGETS))
+    assert rows_of(broken) == [("a", 0, 0, 0), ("b", 0, 0, 0)]
     assert max(c for s, _, c in picked.values() if s == "a") == 1 and max(c for s, _, c in picked.values() if s == "b") in (2, 3)
     assert not {9002, 9003, 9004, 9005, None} & set(picked)
     again, _ = mixed(spark, rows[::-1], [("a", 0.5, 1), ("b", 0.5, 3), ("absent", 0.2, 9)])
