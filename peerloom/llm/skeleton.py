@@ -19,10 +19,22 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Look-alike letters of the Cyrillic and Greek scripts and their Latin prototypes (a part of the
-# public Unicode confusables data, UTS 39).
-CYRILLIC = dict(zip("аеорсухіјѕһԁԛԝАВЕЗІЈКМНОРСТУХЅԌ", "aeopcyxijshdqwABE3IJKMHOPCTYXSG", strict=True))
-GREEK = dict(zip("οναγιυκρτΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "ovayiukptABEZHIKMNOPTYX", strict=True))
+from ..storage import materialise
+
+# Look-alike letters of other scripts and their Latin prototypes (of the public Unicode confusables data,
+# UTS 39, those letters that look like one plain Latin letter or digit).
+CYRILLIC = dict(zip("аеорсухіјѕһԁԛԝѵүӏАВЕЗІЈКМНОРСТУХЅԌѴҮԚԜ", "aeopcyxijshdqwvylABE3IJKMHOPCTYXSGVYQW", strict=True))
+GREEK = dict(zip("οναγιυκρτϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "ovayiukptcjABEZHIKMNOPTYXCJ", strict=True))
+ARMENIAN = dict(zip("զհյոսցօԼՍՏՕ", "qhjnugoLUSO", strict=True))
+CHEROKEE = dict(zip("ᎠᎡᎢᎪᎫᎬᎳᎷᎻᎽᏀᏃᏎᏔᏙᏚᏞᏟᏢᏦᏴ", "DRTAJEWMHYGZ4WVSLCPKB", strict=True))
+LISU = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU", strict=True))
+# Letters of the Latin script itself that look like plain ones. The dotless i is a letter of its own.
+LATIN = dict(zip("ɑɡɩʋʏᴄᴏᴜᴠᴡᴢꜱ", "agiuycouvwzs", strict=True))
+# The first and last code points of scripts.
+SCRIPTS = {
+    "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)], "cyrillic": [(0x400, 0x52F)], "armenian": [(0x531, 0x58A)],
+    "cherokee": [(0x13A0, 0x13FF), (0xAB70, 0xABBF)], "lisu": [(0xA4D0, 0xA4FF)], "latin": [(0, 0x24F), (0x1E00, 0x1EFF)],
+}
 
 # Code points that are not seen at all.
 INVISIBLE = [
@@ -36,10 +48,15 @@ HYPHENS = [0x2010, 0x2011, 0x2043, 0xFE63]
 
 _INVISIBLE = dict.fromkeys(INVISIBLE)
 _BLANKS = {**dict.fromkeys(SPACES, " "), **dict.fromkeys(HYPHENS, "-")}
-_LATIN_OF = {**CYRILLIC, **GREEK}
-_CYRILLIC_OF = {latin: c for c, latin in reversed(CYRILLIC.items()) if latin.isalpha()}
-_GREEK_OF = {latin: g for g, latin in reversed(GREEK.items())}
-_TO_LATIN = str.maketrans(_LATIN_OF)
+_LATIN_OF = {**CYRILLIC, **GREEK, **ARMENIAN, **CHEROKEE, **LISU}
+#: script -> Latin letter -> the script's letter that looks like it; of several the first of the table.
+_BACK = {
+    script: {latin: letter for letter, latin in reversed(letters.items()) if latin.isalpha()}
+    for script, letters in {"cyrillic": CYRILLIC, "greek": GREEK, "armenian": ARMENIAN, "cherokee": CHEROKEE, "lisu": LISU}.items()
+}
+_TO_LATIN = str.maketrans({**_LATIN_OF, **LATIN})
+# A look-alike of the Latin script beside another letter; alone it is a sign of its own.
+_LATIN_ALIKE = re.compile(rf"(?<=[^\W\d_])[{''.join(LATIN)}]|[{''.join(LATIN)}](?=[^\W\d_])")
 _WORD = re.compile(r"[^\W\d_]+")
 # Ligatures and digraphs, letter-like signs and Roman numerals, half- and full-width forms, styled letters.
 _COMPOSITE = re.compile("[\ufb00-\ufb06\u0132\u0133\u01c4-\u01cc\u01f1-\u01f3\u2160-\u217f\uff01-\uffee\U0001d400-\U0001d7ff]")
@@ -58,11 +75,7 @@ def skeleton(text: str | None) -> str | None:
 
 def _script(ch: str) -> str:
     code = ord(ch)
-    if 0x370 <= code <= 0x3FF or 0x1F00 <= code <= 0x1FFF:
-        return "greek"
-    if 0x400 <= code <= 0x52F:
-        return "cyrillic"
-    return "latin" if code < 0x250 or 0x1E00 <= code <= 0x1EFF else "other"
+    return next((s for s, ranges in SCRIPTS.items() if any(a <= code <= b for a, b in ranges)), "other")
 
 
 def _in_script(word: str, script: str) -> str | None:
@@ -73,7 +86,7 @@ def _in_script(word: str, script: str) -> str | None:
             out.append(ch)
         else:
             latin = _LATIN_OF.get(ch, ch)
-            to = latin if script == "latin" else (_CYRILLIC_OF if script == "cyrillic" else _GREEK_OF).get(latin)
+            to = latin if script == "latin" else _BACK.get(script, {}).get(latin)
             if to is None or _script(to) != script:
                 return None
             out.append(to)
@@ -90,6 +103,7 @@ def ordinary_form(text: str | None) -> str | None:
     text = unicodedata.normalize("NFC", text)
     if text.isascii():
         return text
+    text = _LATIN_ALIKE.sub(lambda m: LATIN[m[0]], text)
     kinds = [(m, {_script(c) for c in m[0]}) for m in _WORD.finditer(text)]
     pure: dict[str, int] = {}
     for m, scripts in kinds:
@@ -98,7 +112,7 @@ def ordinary_form(text: str | None) -> str | None:
             pure[s] = pure.get(s, 0) + len(m[0])
         else:  # a mixed word speaks for the script its letters without look-alike belong to
             for c in m[0]:
-                if c not in _LATIN_OF and c not in _CYRILLIC_OF and c not in _GREEK_OF:
+                if c not in _LATIN_OF and not any(c in back for back in _BACK.values()):
                     pure[_script(c)] = pure.get(_script(c), 0) + 1
     main = max(pure, key=lambda s: (pure[s], s == "latin")) if pure else "latin"
     out, at = [], 0
@@ -106,9 +120,9 @@ def ordinary_form(text: str | None) -> str | None:
         word = m[0]
         new = word
         if len(scripts) > 1:
-            order = [main] + [s for s in ("latin", "cyrillic", "greek") if s != main]
+            order = [main] + [s for s in ("latin", *_BACK) if s != main]
             new = next((w for s in order if (w := _in_script(word, s))), word)
-        elif scripts != {main} and main != "other" and scripts <= {"latin", "cyrillic", "greek"}:
+        elif scripts != {main} and main != "other" and scripts <= {"latin", *_BACK}:
             term = scripts == {"greek"} and len(word) == 1 and word in _GREEK_TERMS
             if not term and (w := _in_script(word, main)):
                 new = w
@@ -134,7 +148,7 @@ def unify(df: DataFrame, text: str | Column) -> DataFrame:
     text = F.col(text) if isinstance(text, str) else text
     df = df.drop("skeleton", "ordinary", "altered").withColumn("__text", text.cast("string"))
     seen = df.groupBy("__text").agg(F.count("*").alias("__n")).where(F.col("__text").isNotNull())
-    made = seen.mapInPandas(_forms, "__text string, __n long, skeleton string, ordinary string")
+    made = materialise(seen.mapInPandas(_forms, "__text string, __n long, skeleton string, ordinary string"), "forms")  # read twice
     votes = made.groupBy("skeleton", "ordinary").agg(F.sum("__n").alias("__v"))
     best = votes.groupBy("skeleton").agg(F.min_by("ordinary", F.struct(-F.col("__v"), "ordinary")).alias("ordinary"))
     named = made.select("__text", "skeleton").join(best, "skeleton")

@@ -21,6 +21,16 @@ ALTERED = {
     "niños у niñas": "niños y niñas",
     "H επίδραση της ξηρασίας": "Η επίδραση της ξηρασίας",
     "Rapid screening οf soil": "Rapid screening of soil",
+    "Open reviewոf sօil": "Open reviewnf soil",
+    "ᎪBC of ᏟODE": "ABC of CODE",
+    "ꓢoil ꓮnd sand": "Soil And sand",
+    "ɡene reɡulɑtion": "gene regulation",
+}
+OTHER_SCRIPTS = {
+    "հայոց լեզու": "հայոց լեզու",
+    "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ": "ᏣᎳᎩ ᎦᏬᏂᎯᏍᏗ",
+    "the vowel ɑ": "the vowel ɑ",
+    "kırmızı toprak": "kırmızı toprak",
 }
 ORDINARY = ["γ-band rhythms in Δ9-type enzymes", "dose–response “living” dataset…", "Über die Wirkung großer Städte", "Сезонная динамика осадков и её прогноз", "Μελέτη του ύπνου σε 88 παιδιά", "Revisiting: Оценка памяти", "plain", ""]
 
@@ -36,6 +46,11 @@ def test_ordinary(text):
     assert skeleton.ordinary_form(text) == text
 
 
+@pytest.mark.parametrize("text", OTHER_SCRIPTS)
+def test_other_scripts_stay(text):
+    assert skeleton.ordinary_form(text) == text
+
+
 @given(st.text(max_size=40))
 def test_forms_are_stable(text):
     once = skeleton.ordinary_form(text)
