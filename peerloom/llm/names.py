@@ -2,7 +2,7 @@
 
 Method: noisy-channel attribution. Spellings that differ only in case, accents, order, titles or blanks are one form.
 Forms are ranked by how complete and how frequent they are; every form is a candidate canonical one for those below
-it. For a pair the channel gives a likelihood (initials, nicknames, dropped middle names and surname halves, one slip of
+it, and only a higher one can be attached to, so that no attachments form a ring. For a pair the channel gives a likelihood (initials, nicknames, dropped middle names and surname halves, one slip of
 the keyboard), the frequency of the candidate gives the prior, and each form is attached to its maximum posterior.
 Following the attachments upwards ends at the canonical form of a person or organisation.
 """
@@ -182,21 +182,23 @@ def _parsed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Keys of a form as a variant (role v) and as a candidate (role c); only forms with an equal key are compared."""
+    """Keys of a form as a variant (role v) and as a candidate (role c); only forms with an equal key are compared.
+
+    A surname of halves is met by its first half and by both written together."""
     for b in batches:
         out = []
         for form, given, surname in zip(b["form"], b["given"], b["surname"], strict=True):
-            head = surname.split("-")[0]
+            heads = {surname.split("-")[0], surname.replace("-", "")}
+            cuts = {x for head in heads for x in _cuts(head)}
             full = NICKNAMES.get(given, given)
             if len(given) == 1:
-                v = {f"i|{given}|{x}" for x in _cuts(head)}
-                c = {f"j|{given}|{x}" for x in _cuts(head)}
-                v |= {f"j|{given}|{x}" for x in _cuts(head)}
+                v = {f"{k}|{given}|{x}" for k in "ij" for x in cuts}
+                c = {f"j|{given}|{x}" for x in cuts}
             else:
-                v = {f"g|{full}|{x}" for x in _cuts(head)} | {f"h|{head}|{x}" for x in _cuts(given)}
-                c = {f"g|{given}|{x}" for x in _cuts(head)} | {f"h|{head}|{x}" for x in _cuts(given)}
+                v = {f"g|{full}|{x}" for x in cuts} | {f"h|{head}|{x}" for head in heads for x in _cuts(given)}
+                c = {f"g|{given}|{x}" for x in cuts} | {f"h|{head}|{x}" for head in heads for x in _cuts(given)}
                 first = {given[:1]} | {n[0] for n, f in NICKNAMES.items() if f == given}
-                c |= {f"i|{i}|{x}" for i in first for x in _cuts(head)}
+                c |= {f"i|{i}|{x}" for i in first for x in cuts}
             out += [(form, "v", k) for k in v] + [(form, "c", k) for k in c]
         yield pd.DataFrame(out, columns=["form", "role", "key"])
 
@@ -224,10 +226,12 @@ def link(names: DataFrame) -> DataFrame:
     """name, entity, n for every spelling of names (name, n): spellings with the same entity mean the same.
 
     Null and blank names give no row; a name given twice is one spelling; names of one token only ever join equal
-    forms. Ties go to the more complete, then the lower form. An empty table gives an empty result.
+    forms. Ties go to the more complete, then the lower form. An empty table gives an empty result. All joins are by
+    shuffle: every side of them grows with the spellings.
     """
+    tasks = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = names.where("name is not null and trim(name) != ''").groupBy("name").agg(F.sum("n").alias("n"))
-    parsed = names.mapInPandas(_parsed, "name string, n long, kind string, sure boolean, given array<string>, surname array<string>")
+    parsed = names.repartition(tasks, "name").mapInPandas(_parsed, "name string, n long, kind string, sure boolean, given array<string>, surname array<string>")
     parsed = materialise(parsed.where("kind != 'none'"), "parsed")
 
     # A token is a given name as often as the writing says so; where it doesn't, the better of both ends is taken.
@@ -238,7 +242,8 @@ def link(names: DataFrame) -> DataFrame:
     known = parsed.sparkSession.createDataFrame([(x,) for x in sorted({*NICKNAMES, *NICKNAMES.values()})], "token string").withColumn("g", F.lit(3))
     told = told.unionByName(known).groupBy("token").agg(F.sum("g").alias("g"))
     ends = parsed.withColumn("first", F.when(~F.col("sure"), F.try_element_at("given", F.lit(1)))).withColumn("last", F.when(~F.col("sure"), F.try_element_at("surname", F.lit(-1))))
-    ends = ends.join(told.select(F.col("token").alias("first"), F.col("g").alias("g_first")), "first", "left").join(told.select(F.col("token").alias("last"), F.col("g").alias("g_last")), "last", "left")
+    known_as = [told.select(F.col("token").alias(end), F.col("g").alias(f"g_{end}")).hint("merge") for end in ("first", "last")]
+    ends = ends.join(known_as[0], "first", "left").join(known_as[1], "last", "left")
     turn = ~F.col("sure") & (F.coalesce("g_last", F.lit(0)) > F.coalesce("g_first", F.lit(0)))
     given = F.when(turn, F.array("last")).otherwise(F.col("given"))
     surname = F.when(turn, F.concat("given", F.slice("surname", 1, F.size("surname") - 1))).otherwise(F.col("surname"))
@@ -254,31 +259,37 @@ def link(names: DataFrame) -> DataFrame:
     # Abbreviations look up to what they abbreviate, slips to what is more frequent.
     forms = forms.withColumn("rank", F.struct(F.when(F.length("given") < 2, 0).when(F.col("given").isin(list(NICKNAMES)), 1).otherwise(2).alias("a"), F.size(F.filter(F.split("surname", "-"), lambda h: F.length(h) > 1)).alias("b"), F.col("n").alias("c"), whole.alias("d"), F.col("form").alias("e")))
     forms = materialise(forms, "forms")
-    keys = forms.select("form", "given", "surname").mapInPandas(_keys, "form string, role string, key string")
+    keys = forms.select("form", "given", "surname").repartition(tasks, "form").mapInPandas(_keys, "form string, role string, key string")
+    keys = materialise(keys, "keys")
     v, c = (keys.where(f"role = '{r}'").select(F.col("form").alias(r), F.concat(F.substring(F.col("form"), 1, 1), "key").alias("key")) for r in "vc")
-    met = v.join(c, "key").where("v != c").select("v", "c").distinct()
-    met = met.join(forms.select(F.col("form").alias("v"), F.col("rank").alias("vr")), "v").join(forms.select(F.col("form").alias("c"), F.col("n").alias("cn"), F.col("rank").alias("cr")), "c")
-    scored = met.where("cr > vr or not cr.b = vr.b").select("v", "c", "cn").mapInPandas(_scored, "v string, c string, score double")
+    met = v.join(c.hint("merge"), "key").where("v != c").select("v", "c").distinct()
+    ranks = [forms.select(F.col("form").alias(r), F.col("n").alias(f"{r}n"), F.col("rank").alias(f"{r}r")).hint("merge") for r in "vc"]
+    met = met.join(ranks[0], "v").join(ranks[1], "c").where("cr > vr").select("v", "c", "cn")
+    scored = met.mapInPandas(_scored, "v string, c string, score double")
     best = scored.groupBy("v").agg(F.max_by("c", F.struct("score", "c")).alias("up"))
     return _follow(formed, best)
 
 
 def _follow(formed: DataFrame, best: DataFrame) -> DataFrame:
-    """Every form with the top of its attachments. Each round doubles the steps taken, until none moves."""
-    up = materialise(best.select("v", "up"), "up")
-    while True:
-        further = up.select(F.col("v").alias("up"), F.col("up").alias("next"))
-        moved = up.join(further, "up", "left").select("v", F.coalesce("next", "up").alias("to"), F.col("next").isNotNull().alias("moves"))
-        # Two forms that point at each other meet at the lower one.
-        moved = moved.select("v", F.when(F.col("to") == F.col("v"), F.lit(None)).otherwise(F.col("to")).alias("up"), F.col("moves") & (F.col("to") != F.col("v")))
-        moved = materialise(moved.toDF("v", "up", "moves").where("up is not null"), "up")
-        up = moved.select("v", "up")
-        if not moved.where("moves").limit(1).count():
-            break
-    return formed.join(up, formed.form == up.v, "left").select("name", F.coalesce("up", "form").alias("entity"), "n")
+    """name, entity, n: every form (formed: name, form, n) with the top of its attachments (best: v, up).
+
+    Each round doubles the steps taken, until none moves or more steps than attachments are taken. After those only
+    rings move; link makes none, and where best is given with one, its members and all below it meet at its least form.
+    """
+    up = materialise(best.select("v", "up", F.col("v").alias("low")), "up")
+    moving, rounds = True, up.count().bit_length() + 1
+    while moving and rounds:
+        further = up.select(F.col("v").alias("up"), F.col("up").alias("next"), F.col("low").alias("next_low")).hint("merge")
+        moved = up.join(further, "up", "left").select("v", F.coalesce("next", "up").alias("up"), F.least("low", "next_low").alias("low"), F.col("next").isNotNull().alias("moves"))
+        moved = materialise(moved, "up")
+        up, moving, rounds = moved.select("v", "up", "low"), bool(moved.where("moves").limit(1).count()), rounds - 1
+    if moving:
+        ring = up.select(F.col("v").alias("up"), F.col("low").alias("ring")).hint("merge")
+        up = up.join(ring, "up", "left").select("v", F.coalesce("ring", "up").alias("up"))
+    return formed.join(up.hint("merge"), formed.form == up.v, "left").select("name", F.coalesce("up", "form").alias("entity"), "n")
 
 
 def pairs(linked: DataFrame) -> DataFrame:
     """name_a, name_b for every two spellings of one entity, name_a lower by code points."""
     x, y = (linked.select("entity", F.col("name").alias(f"name_{k}")) for k in "ab")
-    return x.join(y, "entity").where("name_a < name_b").select("name_a", "name_b")
+    return x.join(y.hint("merge"), "entity").where("name_a < name_b").select("name_a", "name_b")

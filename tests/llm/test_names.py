@@ -48,3 +48,17 @@ def test_pairs_and_empty_tables(spark):
     assert names.pairs(names.link(names.spellings(empty, empty))).count() == 0
     some = spark.createDataFrame([(["Ann Bolo", None, " "], 1), (None, 2), ([], 3)], "creators array<string>, name int")
     assert [tuple(r) for r in names.spellings(some, empty).collect()] == [("Ann Bolo", 1)]
+
+
+@pytest.mark.parametrize("two", [["Smith-Jones, Ana", "Smithjones, Ana"], ["Lopez Ga, Eva", "Lopez G, Eva"]])
+def test_halves_written_together_or_cut_are_linked(spark, two):
+    for counts in ((5, 1), (1, 5), (1, 1)):
+        rows = spark.createDataFrame(list(zip(two, counts)), "name string, n long")
+        assert len({r.entity for r in names.link(rows).collect()}) == 1
+
+
+def test_chains_and_rings_of_attachments_end(spark):
+    up = [("A", "B"), ("B", "C"), ("C", "A"), ("d", "C"), ("e", "d"), ("p", "q"), ("q", "r"), ("r", "s"), ("x", "y"), ("y", "x")]
+    formed = spark.createDataFrame([(f"name {f}", f, 1) for f in "ABCdepqrsxyz"], "name string, form string, n long")
+    got = {r.name[-1]: r.entity for r in names._follow(formed, spark.createDataFrame(up, "v string, up string")).collect()}
+    assert got == dict.fromkeys("ABCde", "A") | dict.fromkeys("pqrs", "s") | dict.fromkeys("xy", "x") | {"z": "z"}
