@@ -73,9 +73,16 @@ def skeleton(text: str | None) -> str | None:
     return unicodedata.normalize("NFD", text.translate(_TO_LATIN))
 
 
-def _script(ch: str) -> str:
-    code = ord(ch)
-    return next((s for s, ranges in SCRIPTS.items() if any(a <= code <= b for a, b in ranges)), "other")
+class _Scripts(dict):
+    """letter -> its script, worked out once for each letter."""
+
+    def __missing__(self, ch: str) -> str:
+        code = ord(ch)
+        script = self[ch] = next((s for s, ranges in SCRIPTS.items() if any(a <= code <= b for a, b in ranges)), "other")
+        return script
+
+
+_script = _Scripts().__getitem__
 
 
 def _in_script(word: str, script: str) -> str | None:
