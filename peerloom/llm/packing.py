@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..storage import materialise
-from .tokens import VOCABULARY, encoder
+from .once import once
+from .tokens import VOCABULARY, encoder, shared_vocabulary
 
 #: Texts in a shard, shards whose leftovers meet, and the share of a container below which it is packed again.
 SHARD_TEXTS, SHARDS_TOGETHER, FULL = 4000, 40, 0.97
@@ -199,8 +200,9 @@ def containers(documents: DataFrame, sizes: DataFrame, vocabulary: str = VOCABUL
     an empty table gives an empty result. The capacities are a fixed table and are read to the driver.
     """
     capacities = [(r[0], r[1]) for r in sizes.where("container_id is not null and capacity_tokens > 0").select("container_id", "capacity_tokens").distinct().orderBy("container_id").collect()]
-    texts = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").dropDuplicates(["doc_id"])
-    shards = max(1, -(-documents.count() // SHARD_TEXTS))
+    vocabulary = shared_vocabulary(documents.sparkSession, vocabulary)
+    texts, n = once(documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
+    shards = max(1, -(-n // SHARD_TEXTS))
     sharded = texts.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
 
     def first(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -228,6 +230,20 @@ def containers(documents: DataFrame, sizes: DataFrame, vocabulary: str = VOCABUL
     return kept.select(columns).unionByName(again.select(columns))
 
 
+def breaches(documents: DataFrame, contents: DataFrame, sizes: DataFrame) -> DataFrame:
+    """container_id, missing, twice, overfull, gaps: for each capacity the documents that stand in no container, the pieces
+    that stand twice, the containers above capacity and the pieces that don't begin where another ends. All are to be 0."""
+    limits = F.broadcast(sizes.where("container_id is not null and capacity_tokens > 0").select("container_id", "capacity_tokens").distinct())
+    wanted = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().agg(F.count("*").alias("wanted"))
+    pieces = contents.groupBy("container_id", "doc_id").agg(F.count("*").alias("n"), F.countDistinct("start_token").alias("starts"), F.max("end_token").alias("end"), F.sum(F.col("end_token") - F.col("start_token")).alias("tokens"))
+    texts = pieces.groupBy("container_id").agg(F.count("*").alias("texts"), F.sum(F.col("n") - F.col("starts")).alias("twice"), F.count_if(F.col("end") != F.col("tokens")).alias("gaps"))
+    bins = contents.groupBy("container_id", "bin_id").agg(F.sum(F.col("end_token") - F.col("start_token")).alias("used")).join(limits, "container_id")
+    over = bins.groupBy("container_id").agg(F.count_if(F.col("used") > F.col("capacity_tokens")).alias("overfull"))
+    rows = limits.select("container_id").join(texts, "container_id", "left").join(over, "container_id", "left").crossJoin(F.broadcast(wanted))  # one row
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return rows.select("container_id", (F.col("wanted") - zero("texts")).alias("missing"), zero("twice").alias("twice"), zero("overfull").alias("overfull"), zero("gaps").alias("gaps"))
+
+
 def fill(contents: DataFrame, sizes: DataFrame) -> DataFrame:
     """container_id, containers, tokens, used_share: how many containers of each capacity and how full they are."""
     n = contents.groupBy("container_id").agg(F.countDistinct("bin_id").alias("containers"), F.sum(F.col("end_token") - F.col("start_token")).alias("tokens"))

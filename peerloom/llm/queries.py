@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
+from ..storage import materialise
 from . import mixture, names, near_dup, packing, residue, sentences, skeleton, survivor, venues
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,6 +102,12 @@ def p7_fill(s: SparkSession, d: str) -> DataFrame:
     return packing.fill(packing.containers(table(s, d, "documents"), sizes), sizes)
 
 
+@query
+def p7_breaches(s: SparkSession, d: str) -> DataFrame:
+    documents, sizes = table(s, d, "documents"), table(s, d, "container_sizes")
+    return packing.breaches(documents, materialise(packing.containers(documents, sizes), "contents"), sizes)
+
+
 @query
 def p8_selection(s: SparkSession, d: str) -> DataFrame:
     return mixture.select(table(s, d, "documents"), table(s, d, "mixture_targets"))
@@ -112,6 +119,12 @@ def p8_shares(s: SparkSession, d: str) -> DataFrame:
     return mixture.shares(mixture.select(table(s, d, "documents"), targets), targets)
 
 
+@query
+def p8_breaches(s: SparkSession, d: str) -> DataFrame:
+    documents, targets = table(s, d, "documents"), table(s, d, "mixture_targets")
+    return mixture.breaches(documents, mixture.select(documents, targets), targets)
+
+
 @query
 def p9_found(s: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(s, d, "documents")).select("doc_id", "start_char", "end_char")
