@@ -104,7 +104,7 @@ def test_merge_stops_early_and_keeps_provenance(spark):
         ("u", 4, "Z", None, None, None, "20", None, None),
     ]
     answers = merge.ranked_answers(spark.createDataFrame(rows, META), spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "provider string, trust_rank int"))
-    got = {r.target_value: r for r in merge.merge_answers(merge.contributing(answers)).collect()}
+    got = {r.target_value: r for r in merge.merge_answers(merge.contributing(answers, merge.has_venue([], ["v1"]))).collect()}
     t = got["t"]
     assert (t.title, t.title_from, t.authors, t.authors_from, t.year, t.year_from) == ("Title", "A", ["Ann"], "B", "2020", "B")
     assert (t.sources, t.venue_candidates, t.fields, t.author_orcids) == (["A", "B"], ["v1", "v2"], ["f1", "f2"], ["9900-0000-1000-0001"])
