@@ -23,6 +23,8 @@ PLAIN = "aaaaaaceeeeiiiinooooouuuuyyol"
 SMALL_WORDS = ["of", "for", "the", "and", "in", "on", "de", "do", "da", "des", "der", "die", "das", "fur", "du", "la", "le", "el"]
 #: Values shorter than this are taken only as they are; up to LONG letters two edits are allowed, beyond three.
 SHORT, LONG = 6, 16
+#: Names and hosts of the list up to which it is broadcast; each has at most 4 segments and 28 shapes of them.
+BROADCAST_REFS = 50_000
 
 
 def plain(c: Column) -> Column:
@@ -74,20 +76,21 @@ def match_values(values: DataFrame, venues: DataFrame) -> DataFrame:
     """raw, venue_id for every distinct raw value: 0 where no listed venue is meant.
 
     values has one string column, raw. Null and blank values give no row. Equal keys win over abbreviations, and
-    those over edits; then fewer edits, then the lower venue_id decide. The reference list is broadcast: it is fixed
-    and its keys are a few a venue. An empty list gives 0 for every value.
+    those over edits; then fewer edits, then the lower venue_id decide. The reference list is counted, and broadcast up
+    to BROADCAST_REFS names; a longer one is joined by shuffles. An empty list gives 0 for every value.
     """
-    refs = reference_keys(venues)
+    refs = materialise(reference_keys(venues), "refs")
+    few = refs.count() <= BROADCAST_REFS
     values = values.select("raw").where("raw is not null").distinct().withColumn("p", plain(F.col("raw"))).where("p != ''")
     inner = F.regexp_extract("p", "\\((?:now |formerly |ex )?([^()]+)\\)\\s*$", 1)
     keyed = values.select("raw", "p", host(F.col("p")).alias("h"), F.array_distinct(F.array("p", unwrapped(F.col("p")), unwrapped(F.regexp_replace("p", "[.;,: -]+$", "")), inner)).alias("forms"))
     keyed = materialise(keyed, "values")  # a row for each distinct value: read by every step below
 
-    by_host = keyed.where("h != ''").join(F.broadcast(refs.where("kind = 'host'").select("key", "venue_id")), F.col("h") == F.col("key")).select("raw", "venue_id", F.lit(0).alias("cost"))
+    by_host = keyed.where("h != ''").join(_side(refs.where("kind = 'host'").select("key", "venue_id"), few), F.col("h") == F.col("key")).select("raw", "venue_id", F.lit(0).alias("cost"))
     texts = keyed.where("h = '' or not p like 'http%'").select("raw", F.explode("forms").alias("form")).where("form != ''")
     texts = texts.select("raw", "form", F.regexp_replace(compact(F.col("form")), "^the(?=.)", "").alias("key")).where("key != ''").distinct()
-    names = F.broadcast(refs.where("kind = 'name'").select("key", "venue_id", "name"))
-    equal = texts.join(names.select("key", "venue_id"), "key").select("raw", "venue_id", F.lit(0).alias("cost"))
+    names = refs.where("kind = 'name'").select("key", "venue_id", "name")
+    equal = texts.join(_side(names.select("key", "venue_id"), few), "key").select("raw", "venue_id", F.lit(0).alias("cost"))
     sure = by_host.unionByName(equal)
 
     open_texts = materialise(texts.join(sure.select("raw").distinct(), "raw", "left_anti"), "open")
@@ -95,9 +98,9 @@ def match_values(values: DataFrame, venues: DataFrame) -> DataFrame:
     full = names.select("venue_id", words(F.col("name")).alias("full")).where("size(full) > 1").withColumn("initials", initials(F.col("full")))
     short = open_texts.select("raw", words(F.col("form")).alias("short")).where("size(short) > 1").withColumn("initials", initials(F.col("short"))).distinct()
     begins = F.forall(F.arrays_zip("short", "full"), lambda z: F.startswith(z["full"], z["short"]) & (F.length(z["short"]) > 0))
-    abbreviated = short.join(F.broadcast(full), "initials").where(begins & F.exists("short", lambda w: F.length(w) > 2)).select("raw", "venue_id", F.lit(0.5).alias("cost"))
+    abbreviated = short.join(_side(full, few), "initials").where(begins & F.exists("short", lambda w: F.length(w) > 2)).select("raw", "venue_id", F.lit(0.5).alias("cost"))
 
-    near = pigeonhole_join(open_texts.select("raw", "key"), refs.where("kind = 'name'").select("venue_id", F.col("key").alias("ref")))
+    near = pigeonhole_join(open_texts.select("raw", "key"), refs.where("kind = 'name'").select("venue_id", F.col("key").alias("ref")), few)
     found = sure.select("raw", "venue_id", F.col("cost").cast("double").alias("cost")).unionByName(abbreviated.select("raw", "venue_id", F.col("cost").cast("double").alias("cost")))
     found = found.unionByName(near.select("raw", "venue_id", F.col("distance").cast("double").alias("cost")))
     best = found.groupBy("raw").agg(F.min_by("venue_id", F.struct("cost", "venue_id")).alias("venue_id"))
@@ -105,18 +108,25 @@ def match_values(values: DataFrame, venues: DataFrame) -> DataFrame:
     return best.unionByName(none)
 
 
-def pigeonhole_join(values: DataFrame, refs: DataFrame) -> DataFrame:
-    """raw, venue_id, distance for values (raw, key) and references (venue_id, ref) within the edits a reference allows."""
+def _side(refs: DataFrame, few: bool) -> DataFrame:
+    """The list's side of a join: broadcast where it was counted to be short, else shuffled."""
+    return F.broadcast(refs) if few else refs.hint("merge")
+
+
+def pigeonhole_join(values: DataFrame, refs: DataFrame, few: bool = False) -> DataFrame:
+    """raw, venue_id, distance for values (raw, key) and references (venue_id, ref) within the edits a reference allows.
+
+    few: whether the references are short enough to be broadcast. All joins are on equality."""
     shaped = refs.select("venue_id", "ref", F.length("ref").alias("len"), edits(F.col("ref")).alias("k")).where("k > 0")
     start = F.expr("cast(floor(i * len / (k + 1)) as int)")
     cut = shaped.select("*", F.explode(F.sequence(F.lit(0), F.col("k"))).alias("i")).withColumn("at", start).withColumn("to", F.expr("cast(floor((i + 1) * len / (k + 1)) as int)"))
     segments = cut.select("venue_id", "ref", "len", "k", "at", F.expr("to - at").alias("size"), F.expr("substring(ref, at + 1, to - at)").alias("segment"))
     # Which substrings a value has to offer depends on the shapes of the references alone.
-    shapes = segments.select("len", "k", "at", "size").distinct()
-    offers = values.select("raw", "key", F.length("key").alias("n")).join(F.broadcast(shapes), F.expr("n between len - k and len + k"))
+    shapes = segments.select("len", "k", "at", "size").distinct().withColumn("n", F.explode(F.expr("sequence(len - k, len + k)")))
+    offers = values.select("raw", "key", F.length("key").alias("n")).join(_side(shapes, few), "n")
     offers = offers.select("raw", "key", "len", "at", "size", F.explode(F.expr("sequence(greatest(at - k, 0), at + k)")).alias("p")).where("p + size <= n")
     offers = offers.select("raw", "key", "len", "at", "size", F.expr("substring(key, p + 1, size)").alias("segment"))
-    pairs = offers.join(F.broadcast(segments), ["len", "at", "size", "segment"]).select("raw", "key", "venue_id", "ref", "k").distinct()
+    pairs = offers.join(_side(segments, few), ["len", "at", "size", "segment"]).select("raw", "key", "venue_id", "ref", "k").distinct()
     return pairs.withColumn("distance", F.levenshtein("key", "ref")).where("distance <= k").groupBy("raw", "venue_id").agg(F.min("distance").alias("distance"))
 
 
