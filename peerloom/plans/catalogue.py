@@ -455,8 +455,7 @@ def validate_rounds(s: SparkSession, d: str) -> DataFrame:
 
 # Threads, papers and their audit
 
-PLACED = f"{EVENTS}, placed_events as (select *, cast(row_number() over (partition by family_key, value order by event_date, kind <> 'review', event_id) as int) position from events), thread as (select n.family_key, n.value, n.version, n.round, p.position, p.kind, p.event_id, p.review_id, p.event_date from ({NUMBERED[NUMBERED.index('numbered as (') + len('numbered as (') : -1].replace('from versions', 'from versions_')}) n join placed_events p on n.family_key = p.family_key and n.value = p.value)"
-PLACED = VERSIONS.replace("versions as (", "versions_ as (", 1) + ", " + PLACED
+PLACED = f"{EVENTS}, {NUMBERED}, placed_events as (select *, cast(row_number() over (partition by family_key, value order by event_date, kind <> 'review', event_id) as int) position from events), thread as (select n.family_key, n.value, n.version, n.round, p.position, p.kind, p.event_id, p.review_id, p.event_date from numbered n join placed_events p on n.family_key = p.family_key and n.value = p.value)"
 
 
 @query(f"with {PLACED} select family_key, value target_value, version, round, position, kind, event_id, review_id, event_date from thread")
@@ -473,12 +472,12 @@ def thread_parts(s: SparkSession, d: str) -> DataFrame:
     return rows.select("family_key", F.col("value").alias("target_value"), "round", "part", *[F.size(c).cast("long").alias(c) for c in ("comments", "responses", "discussions")], ids.alias("timeline"))
 
 
-LATEST = f"latest as (select family_key, arg_max(value, struct_pack(a := version is not null, b := coalesce(version, 0), c := value)) latest, count(*) rounds from ({VERSIONS[VERSIONS.index('(') + 1 : -1]}) group by 1)"
+LATEST = "latest as (select family_key, arg_max(value, struct_pack(a := version is not null, b := coalesce(version, 0), c := value)) latest, count(*) rounds from versions group by 1)"
 _MERGED = (
     "merged as (select target_value, arg_min(title, struct_pack(a := trust_rank, b := provider_record_id)) filter (where title is not null) title, arg_min(authors, struct_pack(a := trust_rank, b := provider_record_id)) filter (where len(authors) > 0) authors, "
     "arg_min(\"year\", struct_pack(a := trust_rank, b := provider_record_id)) filter (where \"year\" is not null) \"year\", list_sort(list(distinct provider)) sources from used group by 1)"
 )
-PAPERS = f"{ANSWERS}, {LATEST}, {_MERGED}, papers as (select l.family_key, coalesce(t.doi, '') doi, l.latest target_value, m.title, m.authors, m.\"year\", l.rounds from latest l left join merged m on l.latest = m.target_value left join (select target_value, max(doi) doi from targets group by 1) t on l.latest = t.target_value)"
+PAPERS = f"{ANSWERS}, {VERSIONS}, {LATEST}, {_MERGED}, papers as (select l.family_key, coalesce(t.doi, '') doi, l.latest target_value, m.title, m.authors, m.\"year\", l.rounds from latest l left join merged m on l.latest = m.target_value left join (select target_value, max(doi) doi from targets group by 1) t on l.latest = t.target_value)"
 
 
 def _papers(s: SparkSession, d: str) -> DataFrame:
