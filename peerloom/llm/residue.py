@@ -11,7 +11,7 @@ or uses brackets in the ordinary way is left alone.
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ SLOTS = [
     r"(?<!\w)__\p{L}[\w.]*?__(?!\w)",
     r"@@\p{L}[\w.]*@@",
     r"(?<![\w#])#\p{Lu}[\p{Lu}_.]+#",
-    r"\[(?:(?:[Ii]nsert|INSERT|[Aa]dd|ADD|[Ee]nter|ENTER|[Ss]elect|SELECT|[Cc]hoose|[Tt]ype|[Ww]rite|[Ff]ill in|[Yy]our|YOUR|[Nn]ame of|NAME OF|[Tt]itle of|[Ee]scrib[ae]|ESCRIBA|[Ii]nsert[ae]r?|[Ii]nsira|[Tt]ítulo d[eo]|TÍTULO D[EO]|[Nn]ombre d[ee]l?|[Nn]ome d[oae]|[Nn]om d[eu']|[Tt]itre d[eu']) ?(?:[^\[\]\s]+\s*){0,9}|[àÀ] (?:compléter|COMPLÉTER|remplir)|(?:a|por) (?:completar|preencher))\]",
+    r"\[(?:(?:[Ii]nsert|INSERT|[Aa]dd|ADD|[Ee]nter|ENTER|[Ss]elect|SELECT|[Cc]hoose|[Tt]ype|[Ww]rite|[Ff]ill in|[Yy]our|YOUR|[Nn]ame of|NAME OF|[Tt]itle of|[Ee]scrib[ae]|ESCRIBA|[Ii]nsert[ae]r?|[Ii]nsira|[Tt]ítulo d[eo]|TÍTULO D[EO]|[Nn]ombre d[ee]l?|[Nn]ome d[oae]|[Nn]om d[eu']|[Tt]itre d[eu']) ?(?:[^\[\]\s]++\s*+){0,9}|[àÀ] (?:compléter|COMPLÉTER|remplir)|(?:a|por) (?:completar|preencher))\]",
     r"(?<!\w)X{4,}(?!\w)",
     r"(?<!\w)TBD(?!\w)",
 ]
@@ -66,8 +66,11 @@ FAILURES = [
 ]
 # What failed calls leave, also in quotes.
 FAILED_DATA = [r"""\{ ?"(?:status|error|code|message)" ?:""", r"\[object object\]", r"upstream request failed"]
-# A part of every pattern of the last two.
-FAILURE_WORDS = ["page", "checking", "maintenance", "permission", "erro", "erreur", "session", "introuvable", "traceback", "exception", "cannot", '"', "object", "upstream"]
+# Parts that a line must have, all of one row, for a pattern of the last two to hold in it.
+FAILURE_PARTS = [
+    ["page", "exist"], ["temporarily", "maintenance"], ["checking", "your"], ["permission", "this"], ["unexpected", "error"], ["session", "expired"], ["inesperado"],
+    ["introuvable"], ["inattendue"], ["traceback"], ["error:"], ["exception:"], ["cannot", "propert"], ["{", '"'], ["[object"], ["upstream"],
+]
 # Whole lines of failed pages.
 FAILED_LINES = [
     r"(?:http |error |erro |erreur |error:? )?[45]\d\d(?:[ :-]+(?:not found|forbidden|unauthori[sz]ed|bad request|bad gateway|service (?:temporarily )?unavailable|internal server error|too many requests|gateway time-?out))?",
@@ -107,10 +110,12 @@ BLANKS = "\u00a0\u2009\u202f\u3000"
 
 def as_text(c: Column) -> Column:
     """Markup off, entities that stand for signs resolved."""
-    c = F.regexp_replace(c, r"(?i)</?(?:p|div|br|span|b|i|em|strong|ul|ol|li|h\d|a|u|sup|sub|blockquote)(?:\s[^<>]*)?/?>", "\n")
+    markup = F.regexp_replace(c, r"(?i)</?(?:p|div|br|span|b|i|em|strong|ul|ol|li|h\d|a|u|sup|sub|blockquote)(?:\s[^<>]*)?/?>", "\n")
+    c = F.when(F.contains(c, F.lit("<")), markup).otherwise(c)
+    resolved = c
     for name, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(name), F.lit(sign))
-    return c
+        resolved = F.replace(resolved, F.lit(name), F.lit(sign))
+    return F.when(F.contains(c, F.lit("&")), resolved).otherwise(c)
 
 
 def normal_line(c: Column) -> Column:
@@ -150,13 +155,13 @@ def evidence(line: Column, low: Column) -> Column:
     named = rf"(?i:\b{MENTION}\b)(?:\s+\p{{L}}+){{0,2}}?\s+[\"“«'‘]?{slots}|{slots}(?:\s+\p{{L}}+){{0,2}}?\s+(?i:{MENTION})\b|[\"“«‘']{slots}[\"”»’']"
     plain = F.regexp_replace(line, named, " ")
     spoken = normal_line(_unquoted(line))
-    latin = rf"(?:\b{_trie(LATIN)}\b[\s{BLANKS},.;:!?]*){{{LATIN_RUN}}}"
+    latin = rf"(?:\b{_trie(LATIN)}\b[\s{BLANKS},.;:!?]*+){{{LATIN_RUN}}}"
     return (
         F.when(_has(line, ["{", "<", "%", "__", "@@", "#", "[", "XXXX", "TBD"]) & line.rlike(slots) & plain.rlike(slots), "slot")
         .when(low.rlike(_whole(FILLER_LINES)) | low.rlike(latin), "filler")
         .when(low.rlike(_whole(FAILED_LINES)), "failure")
-        .when(_has(low, FAILURE_WORDS) & (spoken.rlike(_any(FAILURES)) | normal_line(line).rlike(_any(FAILED_DATA))), "failure")
-        .when(_has(low, ["script", "cookie"]) & _has(low, DEMAND_WORDS) & spoken.rlike(_any(SCRIPTS)), "script")
+        .when(reduce(or_, [reduce(and_, [F.contains(low, F.lit(x)) for x in parts]) for parts in FAILURE_PARTS]) & (spoken.rlike(_any(FAILURES)) | normal_line(line).rlike(_any(FAILED_DATA))), "failure")
+        .when(_has(low, ["script", "cookie"]) & _has(low, DEMAND_WORDS) & low.rlike(r"(?<![\p{L}\p{N}_])script|java.?script|cookie") & spoken.rlike(_any(SCRIPTS)), "script")
     )
 
 
