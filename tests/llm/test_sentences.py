@@ -72,3 +72,37 @@ def test_long_quotations_and_brackets_stay_whole(marks):
     assert sentences.boundaries(text, "en") == [(0, cut), (cut + 1, len(text))]
     # Marks that are never closed take time in proportion.
     assert sentences._quotations("(«“" * 100_000) == []
+
+
+@pytest.mark.parametrize(
+    ("text", "lang", "pieces"),
+    [
+        ("This is state of the art. We agree, see Sec. 3 and no. 7 of vol. 2.", "en", 2),
+        ("Auf diese Art. Danach folgt Art. 5 und vgl. Abb. 3.", "de", 2),
+        ("« Quel résultat ! » Il faut le dire.", "fr", 2),
+        ("« Quel résultat ! » dit-elle alors. Bien.", "fr", 2),
+        ("Le climat est sec. Les sols aussi, cf. chap. 3.", "fr", 2),
+        ("¡Qué bien!¿Y ahora? El art. 5 dice que no. Vale, pág. 3.", "es", 4),
+        ("O texto diz que não. A Dra. Souza viu a pág. 7.", "pt", 2),
+        ("Это было в 2019 г. Потом, т. е. позже, см. табл. 3.", "ru", 2),
+        ("यह ठीक है। डॉ. शर्मा ने पृ. 3 पर लिखा।", "hi", 2),
+        ("هذا جيد. يرى د. سالم ذلك؟ نعم.", "ar", 3),
+        ("这很好。他说：“对。”然后走了。", "zh", 2),
+        ("Nothing here. It is the end of a text with no tag, see Fig. 2.", None, 2),
+    ],
+)
+def test_tables_of_languages(text, lang, pieces):
+    assert len(sentences.boundaries(text, lang)) == pieces, [text[s:e] for s, e in sentences.boundaries(text, lang)]
+
+
+def test_a_text_without_a_known_tag_is_read_by_its_words():
+    of = sentences.language_of
+    assert [of("The aim of the study is clear and sound", t) for t in (None, "xx", "en-US")] == ["en"] * 3
+    assert of("Les sols sont dans une zone pour les oiseaux", None) == "fr" and of("Сезон дождей", "") == "ru" and of("12 + 3", None) == ""
+
+
+def test_long_runs_of_marks_hide_no_abbreviation_and_no_end():
+    text = "It goes on" + "." * 300 + " and on. The end" + "!" * 300 + " Yes."
+    assert [text[s:e][:8] for s, e in sentences.boundaries(text, "en")] == ["It goes ", "The end!", "Yes."]
+    said = "He said “" + "So it is. " * 22 + "That is all.” and left. We left too."
+    assert len(sentences.boundaries(said, "en")) == 2
